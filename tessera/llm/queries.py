@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import secrets, url_filter
+from tessera.llm import bpe, secrets, url_filter
 from tessera.llm.common import table
 
 
@@ -17,5 +18,9 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(spark, table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op7_secret_scans)}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {f.__name__: f for f in (op3_url_filters, op7_secret_scans, op10_byte_bpe)}
 ORACLE_SQL = {"op3_url_filters": url_filter.ORACLE_SQL}
