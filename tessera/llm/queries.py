@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, secrets, url_filter
+from tessera.llm import bpe, secrets, tokens, url_filter
 from tessera.llm.common import table
 
 
@@ -22,5 +22,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op7_secret_scans, op10_byte_bpe)}
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.pack_sequences(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
 ORACLE_SQL = {"op3_url_filters": url_filter.ORACLE_SQL}
