@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, secrets, tokens, url_filter
+from tessera.llm import bpe, jaccard, secrets, tokens, url_filter
 from tessera.llm.common import table
 
 
@@ -30,5 +30,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_files(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op8_ngram_jaccard, op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
 ORACLE_SQL = {"op3_url_filters": url_filter.ORACLE_SQL}
