@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, jaccard, secrets, tokens, url_filter
+from tessera.llm import bpe, jaccard, neardup, permutation, secrets, tokens, url_filter
 from tessera.llm.common import table
 
 
@@ -34,5 +34,13 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op8_ngram_jaccard, op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
-ORACLE_SQL = {"op3_url_filters": url_filter.ORACLE_SQL}
+def op1_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dup, op9_permutation_index, op8_ngram_jaccard, op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
+ORACLE_SQL = {"op1_embedding_near_dup": neardup.ORACLE_SQL, "op3_url_filters": url_filter.ORACLE_SQL}
