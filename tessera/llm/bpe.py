@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.common import bounded_batches, pieces_of, spread
 
-#: Distinct chunks that a worker remembers; beyond them it starts anew, which costs time only.
-CACHE_CHUNKS = 300_000
+#: Distinct chunks, and pieces, that a worker remembers; what it has forgotten it encodes anew.
+CACHE_CHUNKS = 500_000
 #: Bytes of pieces that one recursive query works on (one piece may have more).
 QUERY_BYTES = 1 << 20
 #: Bytes of a piece (no space, letters or signs only) beyond which its merges run on an array: the recursive
@@ -65,30 +65,56 @@ class Rows:
         return self.flat[spread(starts, ends - starts)], ends - starts
 
 
+class Remembered:
+    """Keys that a worker has met, numbered, with the ids of each; ``encode`` gives the ids of new keys.
+
+    Beyond ``most`` keys those that were used least are forgotten, so that about half are left.
+    """
+
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = CACHE_CHUNKS):
+        self.encode, self.most = encode, most
+        self.index, self.rows, self.used = Interned(), Rows(), np.zeros(0, np.int64)
+
+    def trim(self) -> None:
+        if len(self.index) > self.most:
+            least = 1 + int(np.partition(self.used, len(self.used) // 2)[len(self.used) // 2])
+            keep = np.flatnonzero(self.used >= least)
+            kept, rows = Interned(), Rows()
+            keys = list(self.index)
+            kept.update((keys[i], n) for n, i in enumerate(keep.tolist()))
+            rows.add(*self.rows.get(keep))
+            self.index, self.rows, self.used = kept, rows, self.used[keep] // 2
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, lengths) of the keys with these numbers; encodes what is new first."""
+        if new := len(self.index) - self.rows.n:
+            self.rows.add(*self.encode([k for k, _ in zip(reversed(self.index), range(new), strict=False)][::-1]))
+        used = np.bincount(numbers, minlength=len(self.index))
+        used[: len(self.used)] += self.used
+        self.used = used
+        return self.rows.get(numbers)
+
+    def grouped(self, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``get``, with the lengths of groups of ``sizes`` keys."""
+        ids, lengths = self.get(numbers)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])])
+
+
 class ChunkEncoder:
     """Encodes texts by chunks; ``encode_new`` gives the ids of chunks that have not been met yet."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = CACHE_CHUNKS):
-        self.split, self.encode_new, self.most = split, encode_new, most
-        self.index, self.rows = Interned(), Rows()
+    def __init__(self, split: Callable[[str], list[str]], encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        self.split, self.chunks = split, Remembered(encode_new)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The texts' ids, one after the other, and how many each text has."""
-        if len(self.index) > self.most:
-            self.index, self.rows = Interned(), Rows()
-        known, look, numbers, sizes = len(self.index), self.index.__getitem__, [], np.zeros(len(texts), np.int64)
+        self.chunks.trim()
+        look, numbers, sizes = self.chunks.index.__getitem__, [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            chunks = self.split(text)
-            numbers.append(np.fromiter(map(look, chunks), np.int64, len(chunks)))
-            sizes[i] = len(chunks)
-        if len(self.index) > known:
-            new = list(self.index)[known:] if not known else [k for k, _ in zip(reversed(self.index), range(len(self.index) - known), strict=False)][::-1]
-            self.rows.add(*self.encode_new(new))
-        if not len(sizes) or not sizes.sum():
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        ids, lengths = self.rows.get(np.concatenate(numbers))
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
-        return ids, np.diff(ends)
+            parts = self.split(text)
+            numbers.append(np.fromiter(map(look, parts), np.int64, len(parts)))
+            sizes[i] = len(parts)
+        return self.chunks.grouped(np.concatenate(numbers), sizes)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -119,13 +145,15 @@ ENCODE = """
 WITH RECURSIVE t(w, pos, tok, done) AS (
   SELECT w, pos, tok, FALSE FROM seed
   UNION ALL
-  SELECT w, pos, CASE WHEN pos = spot THEN rank ELSE tok END, spot IS NULL
-  FROM (
-    SELECT w, pos, tok, before, rank, min(rank * 1048576 + pos) OVER (PARTITION BY w) % 1048576 AS spot
+  (WITH ranked AS MATERIALIZED (
+    SELECT w, pos, tok, before, rank
     FROM (SELECT w, pos, tok, lag(pos) OVER o AS before, tok * 4294967296 + lead(tok) OVER o AS pair FROM t WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos))
     LEFT JOIN merges USING (pair)
-  )
-  WHERE before IS DISTINCT FROM spot OR spot IS NULL
+  ),
+  best AS (SELECT w, (min(rank * 65536 + pos) % 65536)::INT AS spot FROM ranked GROUP BY w)
+  SELECT w, pos, CASE WHEN pos = spot THEN rank ELSE tok END, spot IS NULL
+  FROM ranked JOIN best USING (w)
+  WHERE before IS DISTINCT FROM spot OR spot IS NULL)
 )
 SELECT w, tok FROM t WHERE done ORDER BY w, pos
 """
@@ -148,25 +176,21 @@ class Bpe:
         self.db.register("vocabulary_", vocabulary)
         self.pairs = {(p >> 32, p & 0xFFFFFFFF): r for p, r in zip(merges["pair"].to_pylist(), merges["rank"].to_pylist(), strict=True)}
         self.db.execute("CREATE TABLE merges AS FROM merges_; CREATE TABLE vocabulary AS FROM vocabulary_")
-        self.chunks = ChunkEncoder(by_space, self.encode_chunks)
+        self.pieces = Remembered(self.encode_pieces)
+        self.texts = ChunkEncoder(by_space, self.encode_chunks)
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = Interned()
-        numbers, sizes = [], []
-        for chunk in chunks:
+        self.pieces.trim()
+        look, numbers, sizes = self.pieces.index.__getitem__, [], np.zeros(len(chunks), np.int64)
+        for i, chunk in enumerate(chunks):
             found = self.pattern.findall(chunk)
-            numbers += map(pieces.__getitem__, found)
-            sizes.append(len(found))
-        rows = Rows()
-        rows.add(*self.encode_pieces([p.encode("utf-8") for p in pieces]))
-        if not numbers:
-            return np.zeros(0, np.uint32), np.zeros(len(chunks), np.int64)
-        ids, lengths = rows.get(np.array(numbers, np.int64))
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
-        return ids, np.diff(ends)
-
-    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            numbers += map(look, found)
+            sizes[i] = len(found)
+        return self.pieces.grouped(np.array(numbers, np.int64), sizes)
+
+    def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number of each piece; those that are tokens take their id, the others the query."""
+        pieces = [t.encode("utf-8") for t in texts]
         whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int64)
         lengths = np.where(whole >= 0, 1, 0)
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -181,7 +205,7 @@ class Bpe:
             part = left[start:stop]
             data = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
             n = size[start:stop]
-            seed = pa.table({"w": np.repeat(part, n), "pos": spread(np.zeros(len(n), np.int64), n), "tok": self.byte[data]})
+            seed = pa.table({"w": np.repeat(part, n).astype(np.int32), "pos": spread(np.zeros(len(n), np.int64), n).astype(np.int32), "tok": self.byte[data]})
             self.db.register("seed", seed)
             out = self.db.execute(ENCODE).fetchnumpy()
             self.db.unregister("seed")
@@ -241,7 +265,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
         for whole in batches:
             for batch in pieces_of(whole, "text_"):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                ids, sizes = bpe.chunks.encode(texts)
+                ids, sizes = bpe.texts.encode(texts)
                 ends, flat = np.cumsum(sizes), ids.astype("<u4")
                 hashes = [hashlib.sha256(flat[e - n : e].tobytes()).hexdigest() for e, n in zip(ends, sizes, strict=True)]
                 back = [hashlib.sha256(b).hexdigest() for b in bpe.decode(ids, sizes)]

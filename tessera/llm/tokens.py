@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import ChunkEncoder, Interned, Rows
+from tessera.llm.bpe import ChunkEncoder, Remembered
 from tessera.llm.common import bounded_batches, pieces_of, shared_dir, shuffle_partitions, spread, utf8, written
 
 #: Ids of one block, unless a single document has more.
@@ -56,8 +56,8 @@ class WordEncoder:
         others = iter(range(256, 512))
         self.letters = [chr(b) if b in printable else chr(next(others)) for b in range(256)]  # byte-level alphabet
         self.plain = {c for c in range(33, 0x300) if chr(c) not in "<|>" and unicodedata.category(chr(c)) != "Cc" and not chr(c).isspace()}
-        self.chunks = ChunkEncoder(str.split, self.encode_words)
-        self.known, self.rows = Interned(), Rows()
+        self.texts = ChunkEncoder(str.split, self.encode_words)
+        self.known = Remembered(self.encode_parts)
 
     def encode(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array's texts and how many each text has."""
@@ -66,36 +66,35 @@ class WordEncoder:
         if len(data) and data.max() < 0xCC and not (data == ord("<")).any():  # below U+0300 nothing composes
             texts = [t.lower() for t in texts]
         if len(data) and ((data >= 0x1C) & (data <= 0x1F)).any():  # white space to Python only
-            self.chunks.split = lambda t: t.split(" ")
-        ids, sizes = self.chunks.encode(texts)
-        self.chunks.split = str.split
+            self.texts.split = lambda t: t.split(" ")
+        ids, sizes = self.texts.encode(texts)
+        self.texts.split = str.split
         return ids, sizes
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > self.chunks.most:
-            self.known, self.rows = Interned(), Rows()
-        before, numbers, sizes, odd = len(self.known), [], np.zeros(len(words), np.int64), {}
+        self.known.trim()
+        look, numbers, sizes, odd = self.known.index.__getitem__, [], np.zeros(len(words), np.int64), {}
         for i, word in enumerate(words):
             if self.plain.issuperset(map(ord, word)):
                 found = self.parts.findall(word.lower())
-                numbers += map(self.known.__getitem__, found)
+                numbers += map(look, found)
                 sizes[i] = len(found)
             else:
                 odd[i] = word
-        new = [k for k, _ in zip(reversed(self.known), range(len(self.known) - before), strict=False)][::-1]
-        ids = [[t.id for t in self.model.tokenize(part if part.isascii() else "".join([self.letters[b] for b in part.encode()]))] for part in new]
-        self.rows.add(np.array([x for r in ids for x in r], np.uint32), np.array([len(r) for r in ids], np.int64))
-        flat, lengths = self.rows.get(np.array(numbers, np.int64))
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
-        counts = np.diff(ends)
+        flat, counts = self.known.grouped(np.array(numbers, np.int64), sizes)
         if odd:
-            out = np.split(flat, ends[1:-1]) if len(words) > 1 else [flat]
+            out = np.split(flat, np.cumsum(counts)[:-1])
             for i, e in zip(odd, self.tokenizer.encode_batch_fast(list(odd.values()), add_special_tokens=False), strict=True):
                 out[i] = np.array(e.ids, np.uint32)
                 counts[i] = len(out[i])
             flat = np.concatenate(out)
         return flat.astype(np.uint32), counts
 
+    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of plain letters, digits or signs, by the library's model."""
+        ids = [[t.id for t in self.model.tokenize(part if part.isascii() else "".join([self.letters[b] for b in part.encode()]))] for part in parts]
+        return np.array([x for r in ids for x in r], np.uint32), np.array([len(r) for r in ids], np.int64)
+
 
 _WORKER: dict[str, WordEncoder] = {}
 
