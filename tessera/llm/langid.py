@@ -134,6 +134,40 @@ def identify(model: LanguageModel, w: Words, penalty: float = SWITCH) -> tuple[n
     return viterbi(scores, w.counts, penalty), known
 
 
+def predict(model: LanguageModel, array: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(language, score, spans) of each text."""
+    names, size, n = np.array([*model.languages, UNKNOWN], object), len(model.languages), len(array)
+    w = words(array)
+    label, known = identify(model, w)
+    doc = np.repeat(np.arange(n), w.counts)
+    pred, score, cut = np.full(n, size), np.zeros(n), np.zeros(0, np.int64)
+    if size and len(doc):
+        held = np.bincount(doc * size + label, weights=w.length * known, minlength=n * size).reshape(-1, size)
+        letters = np.bincount(doc, weights=w.length, minlength=n)
+        some = letters > 0
+        pred[some] = np.where(held[some].sum(1) > 0, held[some].argmax(1), model.default)
+        score[some] = held[some].max(1) / letters[some]
+        cut = np.flatnonzero(np.append(True, (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])))
+    ends = np.append(cut[1:], len(doc)) - 1 if len(cut) else cut
+    spans = pa.StructArray.from_arrays([pa.array(w.start[cut], pa.int32()), pa.array(w.end[ends], pa.int32()), pa.array(names[label[cut]] if len(cut) else [], pa.string())], ["start", "end", "lang"])
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[cut], np.arange(n + 1)), pa.int32()), spans)
+    return pa.array(names[pred], pa.string()), pa.array(score), lists
+
+
+def drop_unidentified(spark: SparkSession, docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", least: float = 0.4) -> DataFrame:
+    """The rows of ``docs``, all columns, with a language that holds at least this share of the text; no shuffle."""
+    bounded_batches(spark)
+    model = train(docs, text, lang, learn)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces_of(whole, text):
+                named, score, _ = predict(model, batch.column(batch.schema.get_field_index(text)))
+                yield batch.filter(pa.array((np.asarray(named) != UNKNOWN) & (np.asarray(score) >= least)))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def language_spans(spark: SparkSession, docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", model: LanguageModel | None = None) -> DataFrame:
     """Rows (key, held_out, lang_pred, score, spans array<struct<start, end, lang>>), one per row of ``docs``.
 
@@ -143,26 +177,9 @@ def language_spans(spark: SparkSession, docs: DataFrame, learn: Column, key: str
     model = model or train(docs, text, lang, learn)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*model.languages, UNKNOWN], object)
-        size = len(model.languages)
         for whole in batches:
             for batch in pieces_of(whole, "text_"):
-                w = words(batch.column(2))
-                label, known = identify(model, w)
-                doc = np.repeat(np.arange(batch.num_rows), w.counts)
-                pred, score = np.full(batch.num_rows, size), np.zeros(batch.num_rows)
-                cut = np.zeros(0, np.int64)
-                if size and len(doc):
-                    held = np.bincount(doc * size + label, weights=w.length * known, minlength=batch.num_rows * size).reshape(-1, size)
-                    letters = np.bincount(doc, weights=w.length, minlength=batch.num_rows)
-                    some = letters > 0
-                    pred[some] = np.where(held[some].sum(1) > 0, held[some].argmax(1), model.default)
-                    score[some] = held[some].max(1) / letters[some]
-                    cut = np.flatnonzero(np.append(True, (label[1:] != label[:-1]) | (doc[1:] != doc[:-1])))
-                ends = np.append(cut[1:], len(doc)) - 1 if len(cut) else cut
-                spans = pa.StructArray.from_arrays([pa.array(w.start[cut], pa.int32()), pa.array(w.end[ends], pa.int32()), pa.array(names[label[cut]] if len(cut) else [], pa.string())], ["start", "end", "lang"])
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc[cut], np.arange(batch.num_rows + 1)), pa.int32()), spans)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names[pred], pa.string()), pa.array(score), lists], ["key", "held_out", "lang_pred", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *predict(model, batch.column(2))], ["key", "held_out", "lang_pred", "score", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), (~learn).alias("held_out"), F.col(text).alias("text_"))

@@ -281,3 +281,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Col
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), (~learn).alias("held_out"), F.col(text).alias("text_"))
     return rows.mapInArrow(scored, f"key {kind}, held_out boolean, score double, predicted int").withColumnRenamed("key", key)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below ``threshold``; no shuffle."""
+    bounded_batches(spark)
+    model = train(docs, labels, learn, key, text, label)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in pieces_of(whole, text, 2 << 20):
+                yield batch.filter(pa.array(model.score(batch.column(batch.schema.get_field_index(text))) < threshold))
+
+    return docs.mapInArrow(clean, docs.schema)
