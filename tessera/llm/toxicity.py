@@ -33,6 +33,8 @@ TOXIC, CLEAN, TRAIN_CHARS = 3000, 6000, 8000
 #: Words of a window, words from one window to the next, hidden units of a direction, bits of the tables.
 WINDOW, STRIDE, HIDDEN, BITS = 32, 16, 6, 18
 INPUTS = 5
+#: Windows in a training step, and steps of a round at least.
+BATCH, STEPS = 128, 80
 THRESHOLD = 0.7
 
 
@@ -236,10 +238,10 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 6, seed: int = 5) ->
         chosen = np.concatenate([positive, hard, rng.choice(clean, min(len(clean), 3 * len(positive)), replace=False)])
         y = label[chosen].astype(np.float32)
         weight = np.where(y == 1, (y == 0).sum() / max(1, (y == 1).sum()) * 0.5, 1.0).astype(np.float32)
-        for _ in range(3):
+        for _ in range(max(3, STEPS * BATCH // len(chosen))):
             mixed = rng.permutation(len(chosen))
-            for a in range(0, len(mixed), 128):
-                part = mixed[a : a + 128]
+            for a in range(0, len(mixed), BATCH):
+                part = mixed[a : a + BATCH]
                 at, mask = gather(first[chosen[part]], length[chosen[part]])
                 g = backward(p, np.ascontiguousarray(x[at].transpose(0, 2, 1)), mask, y[part], weight[part])
                 step += 1
