@@ -109,6 +109,10 @@ class Query:
     def calculate(self, *calculations: Calculation) -> Query:
         return replace(self, calculations=self.calculations + calculations)
 
+    def lock(self, *kind: Any) -> Query:
+        """Reads take no locks: the query as it is."""
+        return self
+
     def _known(self, name: str) -> str:
         if name not in self.resource.by_name:
             raise QueryError(f"{self.resource.name} has no attribute {name!r}")
@@ -166,6 +170,16 @@ class Query:
         with telemetry.span("tessera.run_query", resource=self.resource.name, query=self), wrapped("query"):
             return self.to_df(repo).collect()
 
+    def records(self, repo: Repo) -> list[dict[str, Any]]:
+        """Full records: attributes that were not selected are None, aggregates lie under ``aggregates``."""
+        named = {a.name for a in self.aggregates}
+        out = []
+        for row in self.run(repo):
+            values = row.asDict()
+            record = {a.name: values.get(a.name) for a in self.resource.attributes} | {k: v for k, v in values.items() if k not in named}
+            out.append(record | {"aggregates": {k: values[k] for k in values if k in named}})
+        return out
+
     def aggregate_values(self, repo: Repo, *aggregates: Aggregate) -> dict[str, Any]:
         """Aggregates over the filtered rows; sort, page, selection and distinct don't matter."""
         if not aggregates:

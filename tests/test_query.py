@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import telemetry
+from tessera.capabilities import ABSENT, FEATURES, can
 from tessera.config import Config
 from tessera.errors import QueryError
 from tessera.functions.predicates import attr
@@ -187,3 +188,19 @@ def test_raw_sql_and_ping(repo):
         repo.query("SELEC 1")
     assert e.value.query == "SELEC 1"
     assert e.value.reason is not None
+
+
+def test_records_are_full(repo):
+    got = query(TEAMS).select("id").sort("id").limit(1).aggregate(Aggregate("n", "count", path=("members",), default=0)).records(repo)
+    assert got == [{"id": 1, "name": None, "aggregates": {"n": 2}}]
+    assert query(TEAMS).lock("for_update") == query(TEAMS)
+
+
+def test_capabilities():
+    assert can("stream")
+    assert can(("aggregate", "avg"))
+    assert can(("filter_expr", "!="))
+    assert can(("sort", "desc_nils_first"))
+    for feature in ("upsert", "join", ("aggregate", "median"), ("query_aggregate", "list"), ("filter_expr", "near"), "anything"):
+        assert not can(feature)
+    assert not set(FEATURES) & set(ABSENT)
