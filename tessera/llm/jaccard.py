@@ -6,15 +6,19 @@ holds at most ``k2`` differences, so some subset of ``n2 - k2`` of its parts is
 is the hash of one such subset of parts: band, partition, subset and the elements in it. A set takes part in its
 own band and in lower bands whose sets it may still resemble, so every linked pair shares a signature.
 
-Parts that are empty, or hold only very common shingles, would gather unrelated texts. ``spare`` more partitions
-than needed are cut; a set with at most ``spare`` such weak partitions leaves them out, as a linked pair agrees
-in more than ``spare`` partitions. Sets with more of them keep all. Which shingles are common is told by a
+Signatures of parts that are empty, or hold only common shingles, would gather unrelated texts. So more partitions
+are cut than needed, that a linked pair shares more than ``spare`` signatures; a set with at most ``spare`` such
+weak signatures leaves them out, and sets with more of them keep all. Which shingles are common is told by a
 bounded sample; it changes the work only, not the result.
 
-Equal sets are one class from the start. In every signature bucket the smallest document is compared with all
-others (a star), components are formed, and then all pairs of a bucket that are still in different components
-are compared, so no link between different components is lost while copies are never expanded into all pairs.
-Comparisons are exact, on whole sets, in groups that are split when a document has many partners.
+Equal sets are one class from the start. In every signature bucket the document that shares most signatures with
+others (the original, in a family of edited copies) is compared with all others (a star), and components are
+formed. Then the pairs of a bucket that are still in different components are met in a join whose condition
+bounds their difference from below: two bitmaps of ``SKETCH`` bits, each bit the parity of the shingles that fall
+on it, differ in at most as many bits as the sets do in elements. Only pairs that the bound doesn't exclude come
+out of that join and are compared. So no link between different components is lost, while copies are never
+expanded into all pairs. Comparisons are exact, on whole sets, in groups that are split when a document has many
+partners.
 
 Defined cases: null texts and texts without words have an empty set and link with nothing; rows with a null key
 get a null component; rows with the same key are one node; an empty table gives an empty result; extra columns
@@ -26,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +41,12 @@ from tessera.llm import shingles
 from tessera.llm.common import bounded_batches, components, mix64, pieces_of, written
 
 #: Documents (about) in the sample that tells common shingles, and the share of them that makes one common.
-SAMPLE, COMMON = 4096, 0.003
+SAMPLE, COMMON = 16384, 0.0005
 #: Partners of one document that are compared in one group.
 GROUP = 256
-_BITS = 20
+#: Bits of a set's parity bitmap.
+SKETCH = 512
+_BITS = 22
 
 
 @dataclass(frozen=True)
@@ -51,6 +58,7 @@ class PartEnum:
     ratio: float = 1.6
     n2: int = 2
     k2: int = 1
+    spared: float = 0.2  #: the share of signatures that may be weak
 
     def reach(self, size: int) -> int:
         """The largest size that a set of this size may still resemble."""
@@ -59,18 +67,23 @@ class PartEnum:
     def differences(self, a: int, b: int) -> int:
         return (self.den - self.num) * (a + b) // (self.den + self.num)
 
+    def agreeing(self, n1: int, k: int) -> int:
+        """Signatures that two sets share at least: k differences spoil most when spread evenly over the partitions."""
+        each, more = divmod(k, n1)
+        left = lambda d: comb(self.n2 - d, self.n2 - self.k2) if d <= self.k2 else 0
+        return (n1 - more) * left(each) + more * left(each + 1)
+
     def bands(self, largest: int) -> list[tuple[int, int, int, int]]:
         """(first size, last size, n1, spare) of each band up to ``largest``."""
         out, low = [], 1
         while low <= largest:
             high = max(low, int(low * self.ratio) - 1)
-            k = self.differences(high, self.reach(high))
-            if not k:
-                out.append((low, high, 0, 0))  # only equal sets link
-            else:
-                need = k // (self.k2 + 1) + 1
-                spare = 1 + need // 6
-                out.append((low, high, need + spare, spare))
+            k, n1, spare = self.differences(high, self.reach(high)), 0, 0
+            if k:  # else only equal sets link
+                n1 = k // (self.k2 + 1) + 1
+                while (spare := self.agreeing(n1, k) - 1) < self.spared * n1 * comb(self.n2, self.k2):
+                    n1 += 1
+            out.append((low, high, n1, spare))
             low = high + 1
         return out
 
@@ -100,12 +113,10 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray, scheme
         rare[cell[border]] = np.add.reduceat((~common[(h >> np.uint64(64 - _BITS)).astype(np.int64)]).astype(np.int32), border)
         total, rare = total.reshape(len(sets), n1, scheme.n2), rare.reshape(len(sets), n1, scheme.n2)
         subsets = list(combinations(range(scheme.n2), scheme.n2 - scheme.k2))
-        weak = np.zeros((len(sets), n1), bool)
-        for subset in subsets:
-            weak |= rare[:, :, subset].sum(2) == 0
-        emit = ~(weak & (weak.sum(1) <= spare)[:, None])
-        s, p = np.nonzero(emit)
+        weak = np.stack([rare[:, :, subset].sum(2) == 0 for subset in subsets])
+        emit = ~(weak & (weak.sum((0, 2)) <= spare)[None, :, None])
         for j, subset in enumerate(subsets):
+            s, p = np.nonzero(emit[j])
             value = total[:, :, subset[0]].copy()
             for x in subset[1:]:
                 value = mix64(value) + total[:, :, x]
@@ -135,6 +146,18 @@ def _common(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def parities(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(sets, SKETCH / 64) words: each bit is the parity of the set's hashes that end in its number."""
+    out = np.zeros((len(sizes), SKETCH // 64), np.int64)
+    for a in range(0, len(sizes), 4096):
+        n = sizes[a : a + 4096]
+        first = int(sizes[:a].sum())
+        at = np.repeat(np.arange(len(n)), n) * SKETCH + (hashes[first : first + int(n.sum())] % np.uint64(SKETCH)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(n) * SKETCH) & 1).astype(np.uint8)
+        out[a : a + 4096] = np.packbits(odd).view(np.int64).reshape(len(n), -1)
+    return out
+
+
 def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, scheme: PartEnum, name: str) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the threshold; a's partners are split into groups of about GROUP."""
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.ceil(F.col("n") / GROUP).cast("int").alias("salts"))
@@ -178,12 +201,15 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     common = np.packbits(_common(docs.select("doc", "text"), size)).tobytes()
 
+    words = [f"p{i}" for i in range(SKETCH // 64)]
+
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in pieces_of(whole, "text"):
                 hashes, sizes = shingles.sets(batch.column(1), size)
                 d1, d2 = shingles.digests(hashes, sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(d1), pa.array(d2)], ["doc", "n", "d1", "d2"])
+                bits = parities(hashes, sizes)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(d1), pa.array(d2), *map(pa.array, np.ascontiguousarray(bits.T))], ["doc", "n", "d1", "d2", *words])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = np.unpackbits(np.frombuffer(common, np.uint8)).astype(bool)
@@ -205,17 +231,20 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
                     part = of[a : a + (1 << 17)]
                     yield pa.RecordBatch.from_arrays([pa.array(value[a : a + (1 << 17)]), pa.array(doc[part]), pa.array(sizes[part].astype(np.int32))], ["sig", "doc", "n"])
 
-    table = written(spark, docs.mapInArrow(described, "doc long, n long, d1 long, d2 long"), "sets")
+    schema = ", ".join(f"{c} long" for c in ["doc", "n", "d1", "d2", *words])
+    table = written(spark, docs.mapInArrow(described, schema), "sets")
     equal = table.where("n > 0 and doc is not null").groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
     reps = written(spark, table.join(equal, ["d1", "d2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "reps")
     of_doc = reps.where("doc is not null and n > 0").groupBy("doc").agg(F.min("rep").alias("rep"))
 
     by_sig = Window.partitionBy("sig")
-    rows = docs.mapInArrow(signed, "sig long, doc long, n int").withColumns({"low": F.min("doc").over(by_sig), "high": F.max("doc").over(by_sig), "low_n": F.min_by("n", "doc").over(by_sig)}).where("low < high")
+    rows = docs.mapInArrow(signed, "sig long, doc long, n int").withColumn("size", F.count(F.lit(1)).over(by_sig)).where("size > 1")
     buckets = written(spark, rows, "buckets")
-
-    alike = (F.least("n", "low_n") * scheme.den >= F.greatest("n", "low_n") * scheme.num) & (F.col("doc") > F.col("low"))
-    star = buckets.where(alike).select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
+    shared = buckets.groupBy("doc").agg(F.sum("size").alias("shared"))
+    most = F.struct("shared", -F.col("doc"))
+    centred = buckets.join(shared, "doc").withColumns({"center": F.max_by("doc", most).over(by_sig), "center_n": F.max_by("n", most).over(by_sig)})
+    alike = F.least("n", "center_n") * scheme.den >= F.greatest("n", "center_n") * scheme.num
+    star = centred.where(alike & (F.col("doc") != F.col("center"))).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
     links = _verify(spark, docs, _of_reps(star, of_doc), size, scheme, "links")
     same = reps.where("n > 0").join(of_doc.withColumnRenamed("rep", "first"), "doc").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     links = links.unionByName(written(spark, same.distinct(), "same"))  # texts of one key
@@ -225,12 +254,15 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         """(doc, component) of all documents with words."""
         return of_doc.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
 
-    left = buckets.join(labelled(first), "doc").select("sig", "doc", "n", "low", "component")
-    apart = Window.partitionBy("sig")
-    left = written(spark, left.withColumns({"c0": F.min("component").over(apart), "c1": F.max("component").over(apart)}).where("c0 < c1").where("doc <> low").select("sig", "doc", "n", "component"), "apart")
-    x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, F.col("x.sig") == F.col("y.sig")).where("x.doc < y.doc and x.component <> y.component").where(f"least(x.n, y.n) * {scheme.den} >= greatest(x.n, y.n) * {scheme.num}")
-    pairs = written(spark, pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct(), "pairs")
+    open_ = buckets.join(labelled(first), "doc").select("sig", "doc", "n", "component")
+    open_ = open_.withColumns({"c0": F.min("component").over(by_sig), "c1": F.max("component").over(by_sig)}).where("c0 < c1").drop("c0", "c1")
+    sketch = table.where("n > 0 and doc is not null").select("doc", F.col("n").cast("int").alias("n"), *words).distinct()
+    open_ = written(spark, open_.join(sketch, ["doc", "n"]), "open")
+    x, y = open_.alias("x"), open_.alias("y")
+    differ = " + ".join(f"bit_count(x.{w} ^ y.{w})" for w in words)
+    few = f"({differ}) * {scheme.num + scheme.den} <= {scheme.den - scheme.num} * (x.n + y.n)"
+    near = F.expr(f"x.sig = y.sig and x.doc < y.doc and x.component <> y.component and least(x.n, y.n) * {scheme.den} >= greatest(x.n, y.n) * {scheme.num} and {few}")
+    pairs = written(spark, x.join(y, near).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct(), "pairs")
     final = first
     if pairs.limit(1).count():
         more = _verify(spark, docs, _of_reps(pairs, of_doc), size, scheme, "links")
