@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the shared folder once and read it back, so lost executors cost a re-read only."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()  # Spark deletes the shuffle files of plans that nobody holds any more
     return spark.read.schema(df.schema).parquet(path)
 
 

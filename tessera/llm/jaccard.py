@@ -163,7 +163,7 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, s
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.ceil(F.col("n") / GROUP).cast("int").alias("salts"))
     members = pairs.join(groups, "a").select(F.col("b").alias("doc"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("salts").cast("long")).cast("int").alias("salt"))
     centers = groups.select(F.col("a").alias("doc"), F.col("a").alias("center"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    wanted = members.unionByName(centers)
+    wanted = written(spark, members.unionByName(centers), "wanted")  # its size is known then, and it is broadcast if small
     texts = docs.join(wanted, "doc").select("doc", "text", "center", "salt")
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,8 +243,9 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     shared = buckets.groupBy("doc").agg(F.sum("size").alias("shared"))
     most = F.struct("shared", -F.col("doc"))
     centred = buckets.join(shared, "doc").withColumns({"center": F.max_by("doc", most).over(by_sig), "center_n": F.max_by("n", most).over(by_sig)})
+    others = written(spark, centred.where("doc <> center").select("sig", "doc", "n", "center", "center_n"), "others")
     alike = F.least("n", "center_n") * scheme.den >= F.greatest("n", "center_n") * scheme.num
-    star = centred.where(alike & (F.col("doc") != F.col("center"))).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
+    star = others.where(alike).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
     links = _verify(spark, docs, _of_reps(star, of_doc), size, scheme, "links")
     same = reps.where("n > 0").join(of_doc.withColumnRenamed("rep", "first"), "doc").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     links = links.unionByName(written(spark, same.distinct(), "same"))  # texts of one key
@@ -254,7 +255,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         """(doc, component) of all documents with words."""
         return of_doc.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
 
-    open_ = buckets.join(labelled(first), "doc").select("sig", "doc", "n", "component")
+    open_ = others.join(labelled(first), "doc").select("sig", "doc", "n", "component")  # centers have been compared with all
     open_ = open_.withColumns({"c0": F.min("component").over(by_sig), "c1": F.max("component").over(by_sig)}).where("c0 < c1").drop("c0", "c1")
     sketch = table.where("n > 0 and doc is not null").select("doc", F.col("n").cast("int").alias("n"), *words).distinct()
     open_ = written(spark, open_.join(sketch, ["doc", "n"]), "open")
