@@ -277,3 +277,22 @@ def _of_reps(pairs: DataFrame, of_doc: DataFrame) -> DataFrame:
     a, b = of_doc.select(F.col("doc").alias("a"), F.col("rep").alias("ra")), of_doc.select(F.col("doc").alias("b"), F.col("rep").alias("rb"))
     named = pairs.join(a, "a").join(b, "b").where("ra <> rb")
     return named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END)) AS s
+  FROM cut
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS held FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * held >= 85 * (p.n + q.n - held)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.node, edges.b FROM reach JOIN edges ON reach.seen = edges.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""

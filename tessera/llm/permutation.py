@@ -30,7 +30,7 @@ from tessera.llm.vectors import matrix, usable
 #: Pivots at most, their places that count, vectors of an index block, queries of a query block.
 PIVOTS, PREFIX, BLOCK, QUERIES = 256, 64, 16384, 2048
 #: The share of a block, and the least number, that is reranked.
-SHARE, LEAST = 0.25, 1024
+SHARE, LEAST = 0.4, 1024
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:

@@ -57,4 +57,4 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op2_toxicity, op4_language_id, op1_embedding_near_dup, op9_permutation_index, op8_ngram_jaccard, op3_url_filters, op5_packing, op6_token_files, op7_secret_scans, op10_byte_bpe)}
-ORACLE_SQL = {"op1_embedding_near_dup": neardup.ORACLE_SQL, "op3_url_filters": url_filter.ORACLE_SQL}
+ORACLE_SQL = {"op8_ngram_jaccard": jaccard.ORACLE_SQL, "op1_embedding_near_dup": neardup.ORACLE_SQL, "op3_url_filters": url_filter.ORACLE_SQL}
