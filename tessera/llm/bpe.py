@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import bounded_batches, pieces_of, spread
+from tessera.llm.common import BATCH_BYTES, bounded_batches, pieces_of, spread
 
 #: Distinct chunks, and pieces, that a worker remembers; what it has forgotten it encodes anew.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 300_000
 #: Bytes of pieces that one recursive query works on (one piece may have more).
 QUERY_BYTES = 1 << 20
 #: Bytes of a piece (no space, letters or signs only) beyond which its merges run on an array: the recursive
@@ -263,7 +263,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker(path, pattern)
         for whole in batches:
-            for batch in pieces_of(whole, "text_"):
+            for batch in pieces_of(whole, "text_", BATCH_BYTES):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 ids, sizes = bpe.texts.encode(texts)
                 ends, flat = np.cumsum(sizes), ids.astype("<u4")

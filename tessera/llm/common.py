@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python, whatever the length of its texts.
 BATCH_BYTES = 8 << 20
+#: Bytes of texts that array passes take at a time (their temporary arrays hold some fifty bytes for each).
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +53,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 # ---------------------------------------------------------------- text buffers
 
 
-def pieces_of(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def pieces_of(batch: pa.RecordBatch, column: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part's texts hold about ``most`` bytes (one text may hold more)."""
     n = batch.num_rows
     if not n:
