@@ -278,7 +278,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: in
 
         encoder, part, before = worker(tokenizer), TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in pieces_of(whole, "text_", 4 << 20):
+            for batch in pieces_of(whole, "text_", 1 << 20):
                 ids, sizes = with_end(*encoder.encode(batch.column(1)), end)
                 ends = np.cumsum(sizes)
                 data = ids.astype("<u2" if encoder.width <= 16 else "<u4")
