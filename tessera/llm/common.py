@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: Bytes of one Arrow batch handed to Python, whatever the length of its texts.
 BATCH_BYTES = 8 << 20
 #: Bytes of texts that array passes take at a time (their temporary arrays hold some fifty bytes for each).
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, df: DataFrame) -> None:
+    """Delete what ``written`` wrote for ``df``; nothing may read it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if folder:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

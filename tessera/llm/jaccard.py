@@ -6,19 +6,20 @@ holds at most ``k2`` differences, so some subset of ``n2 - k2`` of its parts is
 is the hash of one such subset of parts: band, partition, subset and the elements in it. A set takes part in its
 own band and in lower bands whose sets it may still resemble, so every linked pair shares a signature.
 
-Signatures of parts that are empty, or hold only common shingles, would gather unrelated texts. So more partitions
-are cut than needed, that a linked pair shares more than ``spare`` signatures; a set with at most ``spare`` such
-weak signatures leaves them out, and sets with more of them keep all. Which shingles are common is told by a
-bounded sample; it changes the work only, not the result.
-
-Equal sets are one class from the start. In every signature bucket the document that shares most signatures with
-others (the original, in a family of edited copies) is compared with all others (a star), and components are
-formed. Then the pairs of a bucket that are still in different components are met in a join whose condition
-bounds their difference from below: two bitmaps of ``SKETCH`` bits, each bit the parity of the shingles that fall
-on it, differ in at most as many bits as the sets do in elements. Only pairs that the bound doesn't exclude come
-out of that join and are compared. So no link between different components is lost, while copies are never
-expanded into all pairs. Comparisons are exact, on whole sets, in groups that are split when a document has many
-partners.
+Large buckets are met only where they must be. More partitions are cut than needed, so that a linked pair shares
+more than ``spare`` signatures of a band. All signatures have one order: by the number of sets that hold them,
+over the whole corpus, ties by value, those without elements last. Every set leaves out its ``spare`` last ones:
+the first signature that a linked pair shares has at least ``spare`` shared ones behind it, so it stays in both.
+
+Equal sets are one node from the start, and buckets of the same members are one bucket. In every bucket the set
+with most neighbours (the original, in a family of edited copies) is compared with all others (a star), and
+components are formed. Then the pairs of a bucket that are still in different components are met in a join whose
+condition bounds their difference from below: two bitmaps of ``SKETCH`` bits, each bit the parity of the shingles
+that fall on it, differ in at most as many bits as the sets do in elements. Only pairs that the bound doesn't
+exclude come out of that join and are compared. So no link between different components is lost, while copies
+are never expanded into all pairs. Comparisons take whole sets, in groups that are split by the size of the sets.
+
+Shingles are 64-bit hashes of their words' hashes: results are exact but for collisions of these.
 
 Defined cases: null texts and texts without words have an empty set and link with nothing; rows with a null key
 get a null component; rows with the same key are one node; an empty table gives an empty result; extra columns
@@ -34,19 +35,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import shingles
-from tessera.llm.common import bounded_batches, components, mix64, pieces_of, written
+from tessera.llm.common import bounded_batches, components, discard, mix64, pieces_of, written
 
-#: Documents (about) in the sample that tells common shingles, and the share of them that makes one common.
-SAMPLE, COMMON = 16384, 0.0005
-#: Partners of one document that are compared in one group.
-GROUP = 256
+#: Shingles (about) of the partners of one set that are compared in one group.
+GROUP = 1 << 19
 #: Bits of a set's parity bitmap.
-SKETCH = 512
-_BITS = 22
+SKETCH = 1024
+WORDS = [f"p{i}" for i in range(SKETCH // 64)]
 
 
 @dataclass(frozen=True)
@@ -58,7 +57,7 @@ class PartEnum:
     ratio: float = 1.6
     n2: int = 2
     k2: int = 1
-    spared: float = 0.2  #: the share of signatures that may be weak
+    spared: float = 0.3  #: the share of signatures that a linked pair has in common at least
 
     def reach(self, size: int) -> int:
         """The largest size that a set of this size may still resemble."""
@@ -88,13 +87,18 @@ class PartEnum:
         return out
 
 
-def signatures(hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray, scheme: PartEnum) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, place of its set) for sets given as ascending hashes one after the other."""
+def signatures(hashes: np.ndarray, sizes: np.ndarray, scheme: PartEnum) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, place of its set, band, how many more the set may leave out in it) for sets of ascending hashes.
+
+    Signatures without elements are last in the common order, so they are left out here, as far as may be.
+    """
+    none = np.zeros(0, np.int64)
     if not len(sizes) or not sizes.max():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return none, none, none, none
     bands = scheme.bands(int(sizes.max()))
+    subsets = list(combinations(range(scheme.n2), scheme.n2 - scheme.k2))
     ends = np.cumsum(sizes)
-    found, of = [], []
+    found, of, in_band, may_drop = [none], [none], [none], [none]
     for b, (low, high, n1, spare) in enumerate(bands):
         if not n1:
             continue
@@ -108,59 +112,52 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray, common: np.ndarray, scheme
         cell = (((h >> np.uint64(32)) * cells) >> np.uint64(32)).astype(np.int64) + np.repeat(np.arange(len(sets)), n) * int(cells)
         border = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
         total = np.zeros(len(sets) * int(cells), np.uint64)
-        rare = np.zeros(len(sets) * int(cells), np.int32)
         total[cell[border]] = np.add.reduceat(mix64(h), border)
-        rare[cell[border]] = np.add.reduceat((~common[(h >> np.uint64(64 - _BITS)).astype(np.int64)]).astype(np.int32), border)
-        total, rare = total.reshape(len(sets), n1, scheme.n2), rare.reshape(len(sets), n1, scheme.n2)
-        subsets = list(combinations(range(scheme.n2), scheme.n2 - scheme.k2))
-        weak = np.stack([rare[:, :, subset].sum(2) == 0 for subset in subsets])
-        emit = ~(weak & (weak.sum((0, 2)) <= spare)[None, :, None])
+        total = total.reshape(len(sets), n1, scheme.n2)
+        value = np.zeros((len(subsets), len(sets), n1), np.uint64)
+        empty = np.zeros(value.shape, bool)
         for j, subset in enumerate(subsets):
-            s, p = np.nonzero(emit[j])
-            value = total[:, :, subset[0]].copy()
+            one = total[:, :, subset[0]].copy()
             for x in subset[1:]:
-                value = mix64(value) + total[:, :, x]
-            place = np.uint64(b << 40 | j << 32) + p.astype(np.uint64)
-            found.append(mix64(value[s, p] + mix64(place)).view(np.int64))
-            of.append(sets[s])
-    return (np.concatenate(found), np.concatenate(of)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def _common(docs: DataFrame, size: int) -> np.ndarray:
-    """A bitmap over leading hash bits: may a shingle with these be common?"""
-    total = docs.count()
-    out = np.zeros(1 << _BITS, bool)
-    if not total:
-        return out
-
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in pieces_of(whole, "text"):
-                hashes, _ = shingles.sets(batch.column(1), size)
-                yield pa.RecordBatch.from_arrays([pa.array((hashes >> np.uint64(64 - _BITS)).astype(np.int64)), pa.array(hashes.view(np.int64))], ["head", "hash"])
-
-    share = min(1.0, SAMPLE / total)
-    least = max(8, int(COMMON * share * total))
-    seen = docs.sample(share, seed=7).mapInArrow(heads, "head long, hash long").groupBy("head", "hash").count().where(F.col("count") >= least)
-    out[[r["head"] for r in seen.select("head").distinct().collect()]] = True
-    return out
+                one = mix64(one) + total[:, :, x]
+            place = np.uint64(b << 40 | j << 32) + np.arange(n1, dtype=np.uint64)
+            value[j] = mix64(one + mix64(place)[None, :])
+            empty[j] = (total[:, :, subset] == 0).all(2)
+        value, empty = (np.moveaxis(x, 0, 2).reshape(len(sets), -1) for x in (value, empty))
+        nothing = empty.sum(1)
+        # of a set's empty signatures, in ascending order, all go but those that exceed what it may leave out
+        held = np.where(empty, value.view(np.int64), np.iinfo(np.int64).max)
+        rank = np.zeros(value.shape, np.int64)
+        for i in np.flatnonzero(nothing > spare):
+            rank[i, np.argsort(held[i], kind="stable")] = np.arange(value.shape[1])
+        emit = ~empty | (rank < (nothing - spare)[:, None]) & (nothing > spare)[:, None]
+        s, p = np.nonzero(emit)
+        found.append(value[s, p].view(np.int64))
+        of.append(sets[s])
+        in_band.append(np.full(len(s), b))
+        may_drop.append(np.maximum(spare - nothing, 0)[s])
+    return np.concatenate(found), np.concatenate(of), np.concatenate(in_band), np.concatenate(may_drop)
 
 
 def parities(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """(sets, SKETCH / 64) words: each bit is the parity of the set's hashes that end in its number."""
     out = np.zeros((len(sizes), SKETCH // 64), np.int64)
-    for a in range(0, len(sizes), 4096):
-        n = sizes[a : a + 4096]
-        first = int(sizes[:a].sum())
+    ends = np.cumsum(sizes)
+    for a in range(0, len(sizes), 1024):
+        n = sizes[a : a + 1024]
+        first = int(ends[a] - sizes[a])
         at = np.repeat(np.arange(len(n)), n) * SKETCH + (hashes[first : first + int(n.sum())] % np.uint64(SKETCH)).astype(np.int64)
         odd = (np.bincount(at, minlength=len(n) * SKETCH) & 1).astype(np.uint8)
-        out[a : a + 4096] = np.packbits(odd).view(np.int64).reshape(len(n), -1)
+        out[a : a + 1024] = np.packbits(odd).view(np.int64).reshape(len(n), -1)
     return out
 
 
-def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, scheme: PartEnum, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold; a's partners are split into groups of about GROUP."""
-    groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).select("a", F.ceil(F.col("n") / GROUP).cast("int").alias("salts"))
+def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, scheme: PartEnum) -> DataFrame:
+    """The pairs (a, b) of ``pairs`` (a, b, n: size of b) whose whole sets reach the threshold, written.
+
+    The partners of one a are dealt to groups of about GROUP shingles.
+    """
+    groups = pairs.groupBy("a").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("salts"))
     members = pairs.join(groups, "a").select(F.col("b").alias("doc"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("salts").cast("long")).cast("int").alias("salt"))
     centers = groups.select(F.col("a").alias("doc"), F.col("a").alias("center"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     wanted = written(spark, members.unionByName(centers), "wanted")  # its size is known then, and it is broadcast if small
@@ -191,7 +188,47 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, s
         return pa.table({"a": pa.array([center] * len(out), pa.int64()), "b": pa.array(sorted(out), pa.int64())})
 
     linked = texts.mapInArrow(as_sets, "doc long, center long, salt int, set binary").groupBy("center", "salt").applyInArrow(compared, "a long, b long")
-    return written(spark, linked, name)
+    return written(spark, linked, "links")
+
+
+def signed_rows(docs: DataFrame, size: int, scheme: PartEnum) -> DataFrame:
+    """Rows (sig, node, band, left): signatures of the distinct sets of each task, a set named by its first digest."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for whole in batches:
+            for batch in pieces_of(whole, "text"):
+                hashes, sizes = shingles.sets(batch.column(1), size)
+                node = shingles.digests(hashes, sizes)[0]
+                fresh = np.array(batch.column(0).is_valid()) & (sizes > 0)
+                for i in np.flatnonzero(fresh):
+                    fresh[i] = (d := int(node[i])) not in seen
+                    seen.add(d)
+                value, of, band, left = signatures(hashes[np.repeat(fresh, sizes)], np.where(fresh, sizes, 0), scheme)
+                for a in range(0, len(value), 1 << 17):
+                    part = slice(a, a + (1 << 17))
+                    yield pa.RecordBatch.from_arrays([pa.array(value[part]), pa.array(node[of[part]]), pa.array(band[part].astype(np.int32)), pa.array(left[part].astype(np.int32))], ["sig", "node", "band", "left"])
+
+    return docs.mapInArrow(signed, "sig long, node long, band int, left int")
+
+
+def buckets(spark: SparkSession, signed: DataFrame) -> DataFrame:
+    """Rows (sig, node): the buckets in which linked sets meet, each group of members once.
+
+    Sizes are counted with map-side sums and joined (a join that Spark can split where a signature is common).
+    Then each set's signatures of a band, no more than its own elements, are put in order and the last ones left out.
+    """
+    signed = written(spark, signed, "signed")
+    sizes = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(spark, signed.join(sizes, "sig"), "shared")
+    discard(spark, signed)
+    ordered = shared.groupBy("node", "band").agg(F.max("left").alias("left"), F.sort_array(F.collect_set(F.struct("size", "sig"))).alias("all"))
+    kept = ordered.where(F.size("all") > F.col("left")).select("node", F.explode(F.slice("all", 1, F.size("all") - F.col("left"))["sig"]).alias("sig"))
+    kept = written(spark, kept, "kept")
+    discard(spark, shared)
+    members = kept.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), *(F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in (1, 2))).where("members > 1")
+    once = members.groupBy("members", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    return written(spark, kept.join(once, "sig"), "buckets")
 
 
 def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 4, scheme: PartEnum | None = None) -> DataFrame:
@@ -199,9 +236,6 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     scheme = scheme or PartEnum()
     bounded_batches(spark)
     docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    common = np.packbits(_common(docs.select("doc", "text"), size)).tobytes()
-
-    words = [f"p{i}" for i in range(SKETCH // 64)]
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -209,74 +243,50 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
                 hashes, sizes = shingles.sets(batch.column(1), size)
                 d1, d2 = shingles.digests(hashes, sizes)
                 bits = parities(hashes, sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(d1), pa.array(d2), *map(pa.array, np.ascontiguousarray(bits.T))], ["doc", "n", "d1", "d2", *words])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(d1), pa.array(d2), *map(pa.array, np.ascontiguousarray(bits.T))], ["doc", "n", "d1", "d2", *WORDS])
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.unpackbits(np.frombuffer(common, np.uint8)).astype(bool)
-        seen: set[tuple[int, int]] = set()  # equal sets of one task are signed once
-        for whole in batches:
-            for batch in pieces_of(whole, "text", 1 << 21):
-                hashes, sizes = shingles.sets(batch.column(1), size)
-                doc = batch.column(0).fill_null(0).to_numpy()
-                fresh = np.array(batch.column(0).is_valid())
-                for i, d in enumerate(zip(*(x.tolist() for x in shingles.digests(hashes, sizes)), strict=True)):
-                    if d in seen:
-                        fresh[i] = False
-                    elif fresh[i]:
-                        seen.add(d)
-                keep = np.repeat(fresh, sizes)
-                sizes = np.where(fresh, sizes, 0)
-                value, of = signatures(hashes[keep], sizes, bitmap, scheme)
-                for a in range(0, len(value), 1 << 17):
-                    part = of[a : a + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays([pa.array(value[a : a + (1 << 17)]), pa.array(doc[part]), pa.array(sizes[part].astype(np.int32))], ["sig", "doc", "n"])
-
-    schema = ", ".join(f"{c} long" for c in ["doc", "n", "d1", "d2", *words])
+    schema = ", ".join(f"{c} long" for c in ["doc", "n", "d1", "d2", *WORDS])
     table = written(spark, docs.mapInArrow(described, schema), "sets")
-    equal = table.where("n > 0 and doc is not null").groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies")
-    reps = written(spark, table.join(equal, ["d1", "d2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "reps")
+    sets = table.where("n > 0 and doc is not null").groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies"), *(F.max(w).alias(w) for w in WORDS))
+    sets = written(spark, sets, "classes")  # a set's name is its smallest document's id
+    repeated = sets.where("copies > 1").select("d1", "d2", "n", "rep")
+    reps = written(spark, table.select("doc", "n", "d1", "d2").join(repeated, ["d1", "d2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep")), "reps")
     of_doc = reps.where("doc is not null and n > 0").groupBy("doc").agg(F.min("rep").alias("rep"))
 
-    by_sig = Window.partitionBy("sig")
-    rows = docs.mapInArrow(signed, "sig long, doc long, n int").withColumn("size", F.count(F.lit(1)).over(by_sig)).where("size > 1")
-    buckets = written(spark, rows, "buckets")
-    shared = buckets.groupBy("doc").agg(F.sum("size").alias("shared"))
+    found = buckets(spark, signed_rows(docs, size, scheme))
+    named = sets.select(F.col("d1").alias("node"), F.col("rep").alias("doc"), "n")
+    rows = written(spark, found.join(named, "node").select("sig", "doc", "n"), "members")
+    crowd = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
+    weight = rows.join(crowd, "sig").groupBy("doc").agg(F.sum("size").alias("shared"))
     most = F.struct("shared", -F.col("doc"))
-    centred = buckets.join(shared, "doc").withColumns({"center": F.max_by("doc", most).over(by_sig), "center_n": F.max_by("n", most).over(by_sig)})
-    others = written(spark, centred.where("doc <> center").select("sig", "doc", "n", "center", "center_n"), "others")
-    alike = F.least("n", "center_n") * scheme.den >= F.greatest("n", "center_n") * scheme.num
-    star = others.where(alike).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()
-    links = _verify(spark, docs, _of_reps(star, of_doc), size, scheme, "links")
+    centers = rows.join(weight, "doc").groupBy("sig").agg(F.max_by(F.struct("doc", "n"), most).alias("center"))
+    others = written(spark, rows.join(centers, "sig").where("doc <> center.doc").select("sig", "doc", "n", F.col("center.doc").alias("center"), F.col("center.n").alias("center_n")), "others")
+    star = others.where(_alike(F.col("n"), F.col("center_n"), scheme)).select(F.col("center").alias("a"), F.col("doc").alias("b"), "n").distinct()
+    links = _verify(spark, docs, star, size, scheme)
     same = reps.where("n > 0").join(of_doc.withColumnRenamed("rep", "first"), "doc").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
     links = links.unionByName(written(spark, same.distinct(), "same"))  # texts of one key
-    first = components(spark, links)
-
-    def labelled(found: DataFrame) -> DataFrame:
-        """(doc, component) of all documents with words."""
-        return of_doc.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
+    joined = components(spark, links)
 
-    open_ = others.join(labelled(first), "doc").select("sig", "doc", "n", "component")  # centers have been compared with all
-    open_ = open_.withColumns({"c0": F.min("component").over(by_sig), "c1": F.max("component").over(by_sig)}).where("c0 < c1").drop("c0", "c1")
-    sketch = table.where("n > 0 and doc is not null").select("doc", F.col("n").cast("int").alias("n"), *words).distinct()
-    open_ = written(spark, open_.join(sketch, ["doc", "n"]), "open")
+    open_ = others.drop("center", "center_n").join(joined.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))  # centers have been compared with all
+    open_ = written(spark, open_, "open")
+    mixed = open_.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("sig")
+    open_ = written(spark, open_.join(mixed, "sig").join(sets.select(F.col("rep").alias("doc"), "n", *WORDS), ["doc", "n"]), "open")
     x, y = open_.alias("x"), open_.alias("y")
-    differ = " + ".join(f"bit_count(x.{w} ^ y.{w})" for w in words)
-    few = f"({differ}) * {scheme.num + scheme.den} <= {scheme.den - scheme.num} * (x.n + y.n)"
-    near = F.expr(f"x.sig = y.sig and x.doc < y.doc and x.component <> y.component and least(x.n, y.n) * {scheme.den} >= greatest(x.n, y.n) * {scheme.num} and {few}")
-    pairs = written(spark, x.join(y, near).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct(), "pairs")
-    final = first
+    differ = " + ".join(f"bit_count(x.{w} ^ y.{w})" for w in WORDS)
+    few = F.expr(f"({differ}) * {scheme.num + scheme.den} <= {scheme.den - scheme.num} * (x.n + y.n)")
+    near = F.expr("x.sig = y.sig and x.doc < y.doc and x.component <> y.component") & _alike(F.col("x.n"), F.col("y.n"), scheme) & few
+    pairs = written(spark, x.join(y, near).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("y.n").alias("n")).distinct(), "pairs")
     if pairs.limit(1).count():
-        more = _verify(spark, docs, _of_reps(pairs, of_doc), size, scheme, "links")
+        more = _verify(spark, docs, pairs, size, scheme)
         if more.limit(1).count():
-            final = components(spark, links.unionByName(more))
-    return reps.join(labelled(final), "doc", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+            joined = components(spark, links.unionByName(more))
+    labels = of_doc.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
+    return reps.join(labels, "doc", "left").select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
 
 
-def _of_reps(pairs: DataFrame, of_doc: DataFrame) -> DataFrame:
-    """Pairs of documents as distinct pairs of their classes' smallest documents."""
-    a, b = of_doc.select(F.col("doc").alias("a"), F.col("rep").alias("ra")), of_doc.select(F.col("doc").alias("b"), F.col("rep").alias("rb"))
-    named = pairs.join(a, "a").join(b, "b").where("ra <> rb")
-    return named.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
+def _alike(a: Column, b: Column, scheme: PartEnum) -> Column:
+    """Sizes that allow for a link."""
+    return F.least(a, b) * scheme.den >= F.greatest(a, b) * scheme.num
 
 
 ORACLE_SQL = r"""
