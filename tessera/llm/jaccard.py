@@ -57,7 +57,7 @@ class PartEnum:
     ratio: float = 1.6
     n2: int = 2
     k2: int = 1
-    spared: float = 0.3  #: the share of signatures that a linked pair has in common at least
+    spared: float = 0.15  #: the share of signatures that a linked pair has in common at least
 
     def reach(self, size: int) -> int:
         """The largest size that a set of this size may still resemble."""
@@ -215,12 +215,12 @@ def signed_rows(docs: DataFrame, size: int, scheme: PartEnum) -> DataFrame:
 def buckets(spark: SparkSession, signed: DataFrame) -> DataFrame:
     """Rows (sig, node): the buckets in which linked sets meet, each group of members once.
 
-    Sizes are counted with map-side sums and joined (a join that Spark can split where a signature is common).
+    Sizes are counted with map-side sums and joined; they grow with the input, so that join always sorts and merges.
     Then each set's signatures of a band, no more than its own elements, are put in order and the last ones left out.
     """
     signed = written(spark, signed, "signed")
     sizes = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = written(spark, signed.join(sizes, "sig"), "shared")
+    shared = written(spark, signed.join(sizes.hint("merge"), "sig"), "shared")
     discard(spark, signed)
     ordered = shared.groupBy("node", "band").agg(F.max("left").alias("left"), F.sort_array(F.collect_set(F.struct("size", "sig"))).alias("all"))
     kept = ordered.where(F.size("all") > F.col("left")).select("node", F.explode(F.slice("all", 1, F.size("all") - F.col("left"))["sig"]).alias("sig"))
@@ -259,8 +259,9 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     crowd = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size"))
     weight = rows.join(crowd, "sig").groupBy("doc").agg(F.sum("size").alias("shared"))
     most = F.struct("shared", -F.col("doc"))
-    centers = rows.join(weight, "doc").groupBy("sig").agg(F.max_by(F.struct("doc", "n"), most).alias("center"))
-    others = written(spark, rows.join(centers, "sig").where("doc <> center.doc").select("sig", "doc", "n", F.col("center.doc").alias("center"), F.col("center.n").alias("center_n")), "others")
+    # written, so that Spark can split the join where a bucket is large
+    centers = written(spark, rows.join(weight, "doc").groupBy("sig").agg(F.max_by("doc", most).alias("center"), F.max_by("n", most).alias("center_n")), "centers")
+    others = written(spark, rows.join(centers, "sig").where("doc <> center"), "others")
     star = others.where(_alike(F.col("n"), F.col("center_n"), scheme)).select(F.col("center").alias("a"), F.col("doc").alias("b"), "n").distinct()
     links = _verify(spark, docs, star, size, scheme)
     same = reps.where("n > 0").join(of_doc.withColumnRenamed("rep", "first"), "doc").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
@@ -270,6 +271,7 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     open_ = others.drop("center", "center_n").join(joined.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))  # centers have been compared with all
     open_ = written(spark, open_, "open")
     mixed = open_.groupBy("sig").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("sig")
+    mixed = written(spark, mixed, "mixed")
     open_ = written(spark, open_.join(mixed, "sig").join(sets.select(F.col("rep").alias("doc"), "n", *WORDS), ["doc", "n"]), "open")
     x, y = open_.alias("x"), open_.alias("y")
     differ = " + ".join(f"bit_count(x.{w} ^ y.{w})" for w in WORDS)
