@@ -21,12 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import BATCH_BYTES, bounded_batches, pieces_of, spread
+from tessera.llm.common import bounded_batches, pieces_of, spread
 
-#: Distinct chunks, and pieces, that a worker remembers; what it has forgotten it encodes anew.
-CACHE_CHUNKS = 300_000
+#: Bytes (about) of chunks, and of pieces, that a task remembers; what it has forgotten it encodes anew.
+CACHE_BYTES = 16 << 20
+#: Bytes (about) of one remembered key besides its letters and ids.
+KEY_BYTES = 120
 #: Bytes of pieces that one recursive query works on (one piece may have more).
 QUERY_BYTES = 1 << 20
+#: Bytes of texts that are encoded and decoded at a time.
+ENCODE_BYTES = 2 << 20
 #: Bytes of a piece (no space, letters or signs only) beyond which its merges run on an array: the recursive
 #: query holds a row for each position and merge, the square of a piece's length.
 LONG_PIECE = 512
@@ -49,7 +53,7 @@ class Rows:
         self.flat, self.ends, self.n = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64), 0
 
     def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
-        used = int(self.ends[self.n - 1]) if self.n else 0
+        used = len(self)
         if used + len(values) > len(self.flat):
             self.flat = np.resize(self.flat, max(2 * len(self.flat), used + len(values)))
         if self.n + len(lengths) > len(self.ends):
@@ -58,6 +62,10 @@ class Rows:
         self.ends[self.n : self.n + len(lengths)] = used + np.cumsum(lengths)
         self.n += len(lengths)
 
+    def __len__(self) -> int:
+        """Values in all rows."""
+        return int(self.ends[self.n - 1]) if self.n else 0
+
     def get(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows' values, one after the other, and their lengths."""
         ends = self.ends[rows]
@@ -66,29 +74,36 @@ class Rows:
 
 
 class Remembered:
-    """Keys that a worker has met, numbered, with the ids of each; ``encode`` gives the ids of new keys.
+    """Keys that a task has met, numbered, with the ids of each; ``encode`` gives the ids of new keys.
 
-    Beyond ``most`` keys those that were used least are forgotten, so that about half are left.
+    Beyond ``most`` bytes those that were used least are forgotten, so that about half are left.
     """
 
-    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = CACHE_CHUNKS):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int = CACHE_BYTES):
         self.encode, self.most = encode, most
-        self.index, self.rows, self.used = Interned(), Rows(), np.zeros(0, np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index, self.rows, self.used, self.bytes = Interned(), Rows(), np.zeros(0, np.int64), 0
 
     def trim(self) -> None:
-        if len(self.index) > self.most:
+        if self.bytes > self.most:
             least = 1 + int(np.partition(self.used, len(self.used) // 2)[len(self.used) // 2])
             keep = np.flatnonzero(self.used >= least)
             kept, rows = Interned(), Rows()
             keys = list(self.index)
             kept.update((keys[i], n) for n, i in enumerate(keep.tolist()))
             rows.add(*self.rows.get(keep))
+            self.bytes = sum(map(len, kept)) + KEY_BYTES * len(kept) + 4 * len(rows)
             self.index, self.rows, self.used = kept, rows, self.used[keep] // 2
 
     def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, lengths) of the keys with these numbers; encodes what is new first."""
         if new := len(self.index) - self.rows.n:
-            self.rows.add(*self.encode([k for k, _ in zip(reversed(self.index), range(new), strict=False)][::-1]))
+            keys = [k for k, _ in zip(reversed(self.index), range(new), strict=False)][::-1]
+            ids, lengths = self.encode(keys)
+            self.rows.add(ids, lengths)
+            self.bytes += sum(map(len, keys)) + KEY_BYTES * new + 4 * len(ids)
         used = np.bincount(numbers, minlength=len(self.index))
         used[: len(self.used)] += self.used
         self.used = used
@@ -162,7 +177,7 @@ DECODE = "SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes FROM ids JOIN
 
 
 class Bpe:
-    """One worker's DuckDB with the merge table and the vocabulary, and its remembered chunks."""
+    """One worker's DuckDB with the merge table and the vocabulary, and what the running task remembers."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -170,7 +185,7 @@ class Bpe:
 
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
         merges, vocabulary = merge_table(self.ranks), pa.table({"tok": pa.array(self.ranks.values(), pa.int64()), "bytes": [t.decode("latin-1") for t in self.ranks]})
         self.db.register("merges_", merges)
         self.db.register("vocabulary_", vocabulary)
@@ -179,6 +194,10 @@ class Bpe:
         self.pieces = Remembered(self.encode_pieces)
         self.texts = ChunkEncoder(by_space, self.encode_chunks)
 
+    def forget(self) -> None:
+        self.pieces.forget()
+        self.texts.chunks.forget()
+
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         self.pieces.trim()
         look, numbers, sizes = self.pieces.index.__getitem__, [], np.zeros(len(chunks), np.int64)
@@ -251,7 +270,7 @@ _WORKER: dict[tuple[str, str], Bpe] = {}
 
 
 def worker(path: str, pattern: str) -> Bpe:
-    """This Python worker's encoder; it serves all tasks that the worker runs."""
+    """This Python worker's tables; they serve all tasks that the worker runs."""
     if (path, pattern) not in _WORKER:
         _WORKER[path, pattern] = Bpe(path, pattern)
     return _WORKER[path, pattern]
@@ -262,14 +281,17 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_i
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = worker(path, pattern)
-        for whole in batches:
-            for batch in pieces_of(whole, "text_", BATCH_BYTES):
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                ids, sizes = bpe.texts.encode(texts)
-                ends, flat = np.cumsum(sizes), ids.astype("<u4")
-                hashes = [hashlib.sha256(flat[e - n : e].tobytes()).hexdigest() for e, n in zip(ends, sizes, strict=True)]
-                back = [hashlib.sha256(b).hexdigest() for b in bpe.decode(ids, sizes)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes), pa.array(back)], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for whole in batches:
+                for batch in pieces_of(whole, "text_", ENCODE_BYTES):
+                    texts = [t or "" for t in batch.column(1).to_pylist()]
+                    ids, sizes = bpe.texts.encode(texts)
+                    ends, flat = np.cumsum(sizes), ids.astype("<u4")
+                    hashes = [hashlib.sha256(flat[e - n : e].tobytes()).hexdigest() for e, n in zip(ends, sizes, strict=True)]
+                    back = [hashlib.sha256(b).hexdigest() for b in bpe.decode(ids, sizes)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes), pa.array(back)], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            bpe.forget()
 
     bounded_batches(docs.sparkSession)
     from pyspark.sql import functions as F

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python, whatever the length of its texts.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Bytes of texts that array passes take at a time (their temporary arrays hold some fifty bytes for each).
 PIECE_BYTES = 1 << 19
 
@@ -23,17 +22,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches are cut by bytes as well as rows, so long texts don't add up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
+    """Arrow batches are cut by bytes as well as rows, so long texts don't add up in a worker; what a user has set stays."""
+    own = {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES), "spark.sql.execution.arrow.maxRecordsPerBatch": "4096"}
+    held = spark.conf.getAll
+    for name, value in own.items():
+        if name not in held:
+            spark.conf.set(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where it is unset."""
+    """The folder that driver and executors share, which the session names in ``spark.checkpoint.dir``."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tessera-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share; intermediate tables go there")
     return found.rstrip("/")
 
 

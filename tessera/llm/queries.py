@@ -23,7 +23,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.pack_sequences(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.pack_sequences(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token ids: a word-level encoder, fixed-width bit-packed files, and concatenate-and-cut packing.
 
 Texts are encoded with the tokenizers library. White space separates that tokenizer's words and is dropped, so
-a text's ids are its words' ids one after the other; a worker remembers the words it has met. Words of plain
+a text's ids are its words' ids one after the other; a task remembers the words it has met. Words of plain
 letters, digits and signs go to the library's BPE model, all others through its whole encoder.
 
 Files: a file is a run of blocks, each followed by a line feed, then one footer. A block holds a header, the
@@ -11,11 +11,12 @@ first id, so a reader can seek to any id and unpack with array shifts. Spark wri
 they can lie in any store and a lost task's output is never seen.
 
 Defined cases: null and empty texts have no ids but the end id; a null key sorts first; rows with the same key
-follow each other by their ids; an empty table writes no block; extra columns are ignored.
+follow each other by a hash of their texts; an empty table writes no block; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 import uuid
@@ -32,6 +33,8 @@ from tessera.llm.common import bounded_batches, pieces_of, shared_dir, shuffle_p
 
 #: Ids of one block, unless a single document has more.
 BLOCK_IDS = 1 << 16
+#: Bytes of the texts of one file, about.
+FILE_BYTES = 128 << 20
 _BLOCK = struct.Struct("<4sBxxxIQ")
 _ENTRY = struct.Struct("<QQI")
 _END = struct.Struct("<I4s")
@@ -59,6 +62,10 @@ class WordEncoder:
         self.texts = ChunkEncoder(str.split, self.encode_words)
         self.known = Remembered(self.encode_parts)
 
+    def forget(self) -> None:
+        self.texts.chunks.forget()
+        self.known.forget()
+
     def encode(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array's texts and how many each text has."""
         data = utf8(array)[0]
@@ -100,7 +107,7 @@ _WORKER: dict[str, WordEncoder] = {}
 
 
 def worker(path: str) -> WordEncoder:
-    """This Python worker's encoder; it serves all tasks that the worker runs."""
+    """This Python worker's tokenizer; it serves all tasks that the worker runs."""
     if path not in _WORKER:
         _WORKER[path] = WordEncoder(path)
     return _WORKER[path]
@@ -187,8 +194,17 @@ def random_access(data: bytes, first: int, n: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
+def file_number(path: str) -> int:
+    """The number of the partition that wrote a file; names have five digits or more."""
+    return int(re.search(r"part-(\d+)", path.rpartition("/")[2])[1])
+
+
 def write_files(docs: DataFrame, tokenizer: str, end: int, path: str, key: str = "doc_id", text: str = "text") -> None:
-    """Encode ``docs`` and write their ids in ascending key order, one file a range partition."""
+    """Encode ``docs`` and write their ids in ascending key order, one file a range partition.
+
+    The ranges are as many as texts hold ``FILE_BYTES``, so that a file can be read whole. Rows of one key, or of
+    none, are ordered by a hash of their texts, which also divides their ranges.
+    """
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker(tokenizer)
@@ -206,28 +222,35 @@ def write_files(docs: DataFrame, tokenizer: str, end: int, path: str, key: str =
             keys, counts, held = [], [], []
             yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
-        for whole in batches:
-            for batch in pieces_of(whole, "text_", 1 << 19):
-                ids, sizes = with_end(*encoder.encode(batch.column(1)), end)
-                keys += batch.column(0).to_pylist()
-                counts.append(sizes)
-                held.append(ids)
-                if sum(map(len, held)) >= BLOCK_IDS:
-                    yield from flush()
-        if keys:
-            yield from flush()
-        if entries:
-            yield pa.RecordBatch.from_arrays([pa.array([footer(entries)], pa.binary())], ["data"])
+        try:
+            for whole in batches:
+                for batch in pieces_of(whole, "text_"):
+                    ids, sizes = with_end(*encoder.encode(batch.column(1)), end)
+                    keys += batch.column(0).to_pylist()
+                    counts.append(sizes)
+                    held.append(ids)
+                    if sum(map(len, held)) >= BLOCK_IDS:
+                        yield from flush()
+            if keys:
+                yield from flush()
+            if entries:
+                yield pa.RecordBatch.from_arrays([pa.array([footer(entries)], pa.binary())], ["data"])
+        finally:
+            encoder.forget()
 
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text_"))
-    rows = rows.repartitionByRange(shuffle_partitions(spark), F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text_")
-    rows.mapInArrow(blocks, "data binary").select(F.col("data").cast("string").alias("value")).write.option("compression", "none").text(path)
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("hash_"), F.col(text).alias("text_"))
+    size = rows.agg(F.sum(F.octet_length("text_").cast("long"))).head()[0] or 0
+    files = max(shuffle_partitions(spark), -(-size // FILE_BYTES))
+    order = [F.col("key").asc_nulls_first(), F.col("hash_"), F.col("text_")]
+    rows = rows.repartitionByRange(files, *order[:2]).sortWithinPartitions(*order).select("key", "text_")
+    # a limit of rows a file would part a file from its footer
+    rows.mapInArrow(blocks, "data binary").select(F.col("data").cast("string").alias("value")).write.option("compression", "none").option("maxRecordsPerFile", 0).text(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (file, key, before, n_tokens, ids_crc32, ids): each file's documents; ``before`` counts in the file."""
+    """Rows (file, key, before, n_tokens, ids_crc32): each file's documents; ``before`` counts in the file."""
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +276,7 @@ def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int =
     path = path or f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     write_files(docs, tokenizer, end, path, key, text)
     rows = written(spark, read_files(spark, path), "token-rows")
-    totals = sorted((r["file"].rpartition("/")[2], r["file"], r["n"]) for r in rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect())
+    totals = sorted((file_number(r["file"]), r["file"], r["n"]) for r in rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect())
     bases, total = [], 0
     for _, file, n in totals:
         bases.append((file, total))
@@ -264,8 +287,10 @@ def token_files(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int =
 # ---------------------------------------------------------------- packing
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = 2, length: int = 4096, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (key, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids): pieces of all documents.
+def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: int = 2, length: int = 4096, key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """Rows (key, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids array<int>): pieces of all documents.
+
+    A digest that needs no ids leaves them out by ``with_ids=False``.
 
     Pass one encodes each partition and counts; ids go to the shared folder with the partition's number and
     each document's place in it. The partitions' totals (one row each) give global offsets by a prefix sum, and
@@ -277,23 +302,29 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: in
         from pyspark import TaskContext
 
         encoder, part, before = worker(tokenizer), TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for batch in pieces_of(whole, "text_", 1 << 20):
-                ids, sizes = with_end(*encoder.encode(batch.column(1)), end)
-                ends = np.cumsum(sizes)
-                data = ids.astype("<u2" if encoder.width <= 16 else "<u4")
-                rows = pa.array([data[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes), pa.array(sizes), rows], ["key", "part", "before", "n", "ids"])
-                before += int(ends[-1]) if len(ends) else 0
+        try:
+            for whole in batches:
+                for batch in pieces_of(whole, "text_"):
+                    ids, sizes = with_end(*encoder.encode(batch.column(1)), end)
+                    ends = np.cumsum(sizes)
+                    data = ids.astype("<u2" if encoder.width <= 16 else "<u4")
+                    rows = pa.array([data[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(sizes), part, np.int32)), pa.array(before + ends - sizes), pa.array(sizes), rows], ["key", "part", "before", "n", "ids"])
+                    before += int(ends[-1]) if len(ends) else 0
+        finally:
+            encoder.forget()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = batch.column(1).to_numpy()
             sizes = batch.column(2).to_numpy()
             out = {k: [] for k in ("row", "start", "length", "crc")}
+            held: list[np.ndarray] = [np.zeros(0, "<u4")]
             for i, (data, a, n) in enumerate(zip(batch.column(3), first, sizes, strict=True)):
                 raw = data.as_buffer()
                 ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
+                if with_ids:
+                    held.append(ids)
                 edges = [0, *range(int(-a % length) or length, int(n), length), int(n)]
                 for x, y in zip(edges, edges[1:], strict=False):
                     out["row"].append(i)
@@ -302,10 +333,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: in
                     out["crc"].append(zlib.crc32(ids[x:y]))
             row, start, size = (np.array(out[k], np.int64) for k in ("row", "start", "length"))
             at = first[row] + start
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (start, size, out["crc"], sizes[row], at // length, at % length))],
-                ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
-            )
+            columns = [batch.column(0).take(pa.array(row)), *(pa.array(x, pa.int64()) for x in (start, size, out["crc"], sizes[row], at // length, at % length))]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(np.concatenate(held).astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, ["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][: len(columns)])
 
     bounded_batches(spark)
     kind = docs.schema[key].dataType.simpleString()
@@ -317,4 +348,5 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, tokenizer: str, end: in
         total += n
     placed = rows.join(F.broadcast(spark.createDataFrame(bases, "part int, base long")), "part")  # a row a partition
     placed = placed.select("key", (F.col("base") + F.col("before")).alias("first"), "n", "ids")
-    return placed.mapInArrow(cut, f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").withColumnRenamed("key", key)
+    schema = f"key {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long{', ids array<int>' if with_ids else ''}"
+    return placed.mapInArrow(cut, schema).withColumnRenamed("key", key)

@@ -59,11 +59,19 @@ def test_decisions_take_effect(spark, corpus):
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     assert sum(p["length"] for p in pieces) == sum(len(t.encode(x, add_special_tokens=False).ids) + 1 for x in seen[3].values())
+    assert all(len(p["ids"]) == p["length"] for p in pieces)
     whole = cp.run(spark, folder)
     assert sorted((p["doc_id"], p["start"], p["ids_crc32"]) for p in whole.collect()) != []
     assert {p["doc_id"] for p in whole.collect()} == seen[3].keys()
 
 
+def test_rows_that_repeat_stay_once(spark, docs):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, text, "en", "a")] * 4 + [(9, text, "en", "a"), (12, "another text of no group", "en", "b"), (12, "under one id", "en", "b"), (None, text, "en", "c"), (None, text, "en", "c")]
+    got = cp.drop_near_copies(spark, docs(rows), "").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got) == sorted([("5", text), ("12", "another text of no group"), ("12", "under one id"), ("None", text), ("None", text)])
+
+
 def test_no_documents(spark, corpus, tmp_path):
     folder, *_ = corpus
     for name in ("documents", "labels"):

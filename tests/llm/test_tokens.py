@@ -59,7 +59,7 @@ def test_bpe_round_trip(tiktoken_encoding, texts):
 
 
 def test_remembered_keys_are_trimmed_by_use():
-    r = bpe.Remembered(lambda keys: (np.array([len(k) for k in keys], np.uint32), np.ones(len(keys), np.int64)), most=20)
+    r = bpe.Remembered(lambda keys: (np.array([len(k) for k in keys], np.uint32), np.ones(len(keys), np.int64)), most=20 * bpe.KEY_BYTES)
     for k in range(60):
         r.trim()
         words = ["often", "x" * (k % 7), *["u" * (100 + k) for _ in range(1)]]
@@ -68,6 +68,8 @@ def test_remembered_keys_are_trimmed_by_use():
         assert sizes.tolist() == [1, 1, 1]
     assert len(r.index) <= 21
     assert "often" in r.index
+    r.forget()
+    assert len(r.index) == r.bytes == len(r.rows) == 0
 
 
 def test_long_pieces_take_the_array_way(tiktoken_encoding):
@@ -116,6 +118,18 @@ def test_token_files(spark, docs, odd, word_tokenizer):
     assert tokens.token_files(spark, docs([]), WORD).collect() == []
 
 
+def test_files_follow_by_number_and_size(spark, docs, monkeypatch):
+    names = [f"file:/x/part-{n:05d}-0b-c000.txt" for n in (0, 99_999, 100_000, 100_001, 2)]
+    assert [tokens.file_number(n) for n in sorted(names, key=tokens.file_number)] == [0, 2, 99_999, 100_000, 100_001]
+    monkeypatch.setattr(tokens, "FILE_BYTES", 2000)
+    rows = [(7, f"one key with many texts {i}", "en", "a") for i in range(400)]
+    path = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    got = tokens.token_files(spark, docs(rows), WORD, path=path).orderBy("start").collect()
+    assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got[:-1]]]).tolist()
+    sizes = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).where("length > 0").count()
+    assert sizes > 3, "the rows of one key are divided as well"
+
+
 def test_packing(spark, docs, odd, word_tokenizer):
     got = [r.asDict() for r in tokens.pack_sequences(spark, docs(odd), WORD, length=64).collect()]
     ids_of = {}
@@ -125,7 +139,8 @@ def test_packing(spark, docs, odd, word_tokenizer):
     for r in got:
         ids = ids_of[r["doc_id"]]
         assert r["doc_tokens"] == len(ids)
-        assert r["ids_crc32"] == crc(ids[r["start"] : r["start"] + r["length"]])
+        assert r["ids"] == ids[r["start"] : r["start"] + r["length"]]
+        assert r["ids_crc32"] == crc(r["ids"])
     places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in got)
     at = 0
     for sequence, offset, length in places:
