@@ -32,9 +32,15 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked documents, unchanged."""
-    classes = jaccard.jaccard_classes(spark, docs, size=NEAR_WORDS, scheme=NEAR)
-    return docs.join(classes.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each group of linked documents, unchanged.
+
+    Of rows that repeat its id and text one stays; rows without an id have no group, and all stay.
+    """
+    classes = written(spark, jaccard.jaccard_classes(spark, docs, size=NEAR_WORDS, scheme=NEAR), "near-classes")
+    kept = docs.join(classes.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    repeated = written(spark, classes.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +49,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of training sequences that the documents fill."""
+    """The pieces of training sequences that the documents fill, with their token ids."""
     return tokens.pack_sequences(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
