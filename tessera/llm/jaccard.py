@@ -42,7 +42,7 @@ from tessera.llm import shingles
 from tessera.llm.common import bounded_batches, components, discard, mix64, pieces_of, written
 
 #: Shingles (about) of the partners of one set that are compared in one group.
-GROUP = 1 << 19
+GROUP = 1 << 17
 #: Bits of a set's parity bitmap.
 SKETCH = 1024
 WORDS = [f"p{i}" for i in range(SKETCH // 64)]
