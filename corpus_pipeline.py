@@ -37,8 +37,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Of rows that repeat its id and text one stays; rows without an id have no group, and all stay.
     """
     classes = written(spark, jaccard.jaccard_classes(spark, docs, size=NEAR_WORDS, scheme=NEAR), "near-classes")
-    kept = docs.join(classes.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    # both are written first: their sizes are known then, and texts are shuffled only where these are large
+    others = written(spark, classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
     repeated = written(spark, classes.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    kept = docs.join(others, "doc_id", "left_anti")
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
 
