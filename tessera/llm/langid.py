@@ -10,7 +10,7 @@ added up by Spark into a table of fixed size.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a text in a script that no
 language writes gets the most frequent language with a score of 0; without labelled rows all is ``und``; repeated
-rows are judged alike; extra columns are ignored.
+rows are judged alike; a row without a key is neither learned from nor held out; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -182,5 +182,5 @@ def language_spans(spark: SparkSession, docs: DataFrame, learn: Column, key: str
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *predict(model, batch.column(2))], ["key", "held_out", "lang_pred", "score", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(F.col(key).alias("key"), (~learn).alias("held_out"), F.col(text).alias("text_"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(~learn, F.lit(False)).alias("held_out"), F.col(text).alias("text_"))
     return rows.mapInArrow(labelled, f"key {kind}, held_out boolean, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>").withColumnRenamed("key", key)

@@ -22,10 +22,11 @@ def test_gradients(monkeypatch):
     y, weight = np.array([1.0, 0, 1, 0]), np.array([1.0, 2, 1, 1])
 
     def loss(q):
-        out = toxicity.forward(q, x, mask)
+        out = toxicity.forward(q, toxicity.of_inputs(q, q["x"]), mask)
         return ((np.logaddexp(0, out) - y * out) * weight).sum() / weight.sum()
 
     g = toxicity.backward(p, x, mask, y, weight)
+    p["x"] = x
     for k in p:
         for at in [tuple(gen.integers(0, s) for s in p[k].shape) for _ in range(4)]:
             up, down = ({n: v.copy() for n, v in p.items()} for _ in range(2))
@@ -51,7 +52,89 @@ def test_character_grams(strings):
     assert w.start.tolist() == [0, 3]
     grams = toxicity.grams(w)
     assert all(len(g) == 8 for g in grams)
-    assert [g[2] == toxicity.grams(words(strings(["abcdef"])))[k][0] for k, g in enumerate(grams)] == [True] * 4
+    assert [g[2] == toxicity.grams(words(strings(["abcdef"])))[k][0] for k, g in enumerate(grams)] == [True] * len(toxicity.GRAMS)
+
+
+def plain_score(model, text):
+    """Word by word, window by window, number by number."""
+    import math
+
+    def mixed(bits, parts):
+        h = 0
+        for p in parts:
+            h = ((h ^ p) * 0x9E3779B1) & 0xFFFFFFFF
+            h ^= h >> 15
+        return ((h * 0x85EBCA77) & 0xFFFFFFFF) >> (32 - bits)
+
+    def row(table, b):
+        at = table.held.tolist()
+        return table.rows[at.index(b) + 1].tolist() if b in at else table.rows[0].tolist()
+
+    found, word = [], ""
+    for c in (text or "") + " ":
+        if c.isalpha():
+            word += c.lower() if len(c.lower()) == 1 else c
+        elif word:
+            found.append(word)
+            word = ""
+    vectors = []
+    for w in found:
+        codes = [ord(c) for c in w]
+        h = sum(c * pow(0x5851F42D4C957F2D, i, 1 << 64) for i, c in enumerate(codes)) % (1 << 64)
+        own = row(model.of_word, mixed(toxicity.BITS, [h >> 32, h & 0xFFFFFFFF]))
+        padded = [0, *codes] + [0] * 6
+        each = []
+        for i in range(len(codes)):
+            rows = [row(model.of_gram, mixed(toxicity.BITS, padded[i : i + n])) for n in toxicity.GRAMS]
+            each.append([sum(x) for x in zip(*rows, strict=True)])
+        vectors.append(own + [max(x) for x in zip(*each, strict=True)])
+    p = {k: v.tolist() for k, v in model.parameters.items()}
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    hidden, best, start = len(p["uf"][0]), 0.0, 0
+    while found:
+        part = vectors[start : start + toxicity.WINDOW]
+        states = [[] for _ in part]
+        for d in "fb":
+            h = [0.0] * hidden
+            for t in range(len(part)) if d == "f" else range(len(part) - 1, -1, -1):
+                g = [dot(w, part[t]) + c[0] for w, c in zip(p[f"w{d}"], p[f"c{d}"], strict=True)]
+                u = p[f"u{d}"]
+                r = [sig(g[i] + dot(u[i], h)) for i in range(hidden)]
+                z = [sig(g[hidden + i] + dot(u[hidden + i], h)) for i in range(hidden)]
+                rh = [a * b for a, b in zip(r, h, strict=True)]
+                new = [math.tanh(g[2 * hidden + i] + dot(u[2 * hidden + i], rh)) for i in range(hidden)]
+                h = [a + k * (b - a) for a, b, k in zip(h, new, z, strict=True)]
+                states[t] = states[t] + h
+        e = [math.exp(dot(p["v"][0], [math.tanh(dot(a, s)) for a in p["a"]])) for s in states]
+        pooled = [sum(k * s[i] for k, s in zip(e, states, strict=True)) / sum(e) for i in range(2 * hidden)]
+        best = max(best, sig(dot(p["o"][0], pooled) + p["z"][0][0]))
+        if start + toxicity.WINDOW >= len(found):
+            break
+        start += toxicity.STRIDE
+    return best
+
+
+def test_scores_equal_a_plain_scorer(strings, odd):
+    gen = np.random.default_rng(2)
+    texts = [t for _, t, *_ in odd if t is None or len(t) < 400] + ["vile words of a Vile kind, über alles " * 9, "plain and clean " * 30 + "vile"]
+    w = words(strings(texts))
+    held = np.unique(toxicity.word_buckets(toxicity.word_hashes(w))[::2])
+    grams = np.unique(np.concatenate(toxicity.grams(w))[::2])
+    table = lambda b: toxicity.Table(b, np.concatenate([np.zeros((1, toxicity.SIZE)), gen.normal(size=(len(b), toxicity.SIZE))]).astype(np.float32))
+    model = toxicity.ToxicityModel(table(held), table(grams), toxicity.new_parameters(gen))
+    assert model.score(strings(texts)) == pytest.approx([plain_score(model, t) for t in texts], abs=1e-4)
+
+
+def test_long_labelled_texts_are_learned_from(spark, docs):
+    """All toxic texts are long; one key is repeated."""
+    say = lambda i, n: " ".join(f"plain{(i * 7 + k) % 50} word" for k in range(n))
+    rows = [(i, say(i, 3000) + " you moronface " + say(i, 20), "en", "a") for i in range(12)] + [(100 + i, say(i, 40), "en", "a") for i in range(40)]
+    labels = spark.createDataFrame([(r[0], 1, int(r[0] < 100)) for r in rows], "doc_id long, quality int, toxic int")
+    frame = docs([*rows, *[rows[0]] * 3])
+    got = toxicity.toxicity(spark, frame, labels, F.col("doc_id") % 2 == 0).collect()
+    assert all(r["predicted"] == int(r["doc_id"] < 100) for r in got)
+    assert {r["held_out"] for r in toxicity.toxicity(spark, docs([(None, "x", "en", "a")]), labels, F.col("doc_id") % 2 == 0).collect()} == {False}
 
 
 @DATA
@@ -77,7 +160,7 @@ def test_toxicity_of_odd_rows(spark, docs, odd):
     assert got[2005]["predicted"] == 1
     assert got[1005]["predicted"] == 0
     assert got[7000]["predicted"] == 1, "the end of a long text counts"
-    assert got[4]["score"] == got[8]["score"]
+    assert got[4]["score"] == pytest.approx(got[8]["score"], abs=1e-5)
     kept = toxicity.drop_toxic(spark, both, labels, F.lit(True))
     assert kept.columns == both.columns
     assert {r["doc_id"] for r in kept.collect()} == {k for k, r in got.items() if not r["predicted"]}
