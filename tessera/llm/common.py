@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 4 << 20
 #: Bytes of texts that array passes take at a time (their temporary arrays hold some fifty bytes for each).
 PIECE_BYTES = 1 << 19
+#: Rows of a few numbers that may be broadcast (some 30 MB).
+BROADCAST_ROWS = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,11 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_first(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, to be broadcast if it has at most ``BROADCAST_ROWS`` rows; else Spark sorts and merges."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def discard(spark: SparkSession, df: DataFrame) -> None:
     """Delete what ``written`` wrote for ``df``; nothing may read it any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None

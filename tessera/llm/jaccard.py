@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import shingles
-from tessera.llm.common import bounded_batches, components, discard, mix64, pieces_of, written
+from tessera.llm.common import bounded_batches, components, discard, mix64, pieces_of, small_first, written
 
 #: Shingles (about) of the partners of one set that are compared in one group.
 GROUP = 1 << 17
@@ -160,7 +160,7 @@ def _verify(spark: SparkSession, docs: DataFrame, pairs: DataFrame, size: int, s
     groups = pairs.groupBy("a").agg(F.ceil(F.sum("n") / GROUP).cast("int").alias("salts"))
     members = pairs.join(groups, "a").select(F.col("b").alias("doc"), F.col("a").alias("center"), F.pmod(F.xxhash64("b"), F.col("salts").cast("long")).cast("int").alias("salt"))
     centers = groups.select(F.col("a").alias("doc"), F.col("a").alias("center"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    wanted = written(spark, members.unionByName(centers), "wanted")  # its size is known then, and it is broadcast if small
+    wanted = small_first(written(spark, members.unionByName(centers), "wanted"))
     texts = docs.join(wanted, "doc").select("doc", "text", "center", "salt")
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
