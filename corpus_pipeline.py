@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import jaccard, langid, secrets, tokens, toxicity
-from tessera.llm.common import table, written
+from tessera.llm.common import small_first, table, written
 
 #: Near copies: five-word shingles with a Jaccard similarity of at least 0.8.
 NEAR_WORDS, NEAR = 5, jaccard.PartEnum(num=80, den=100)
@@ -37,9 +37,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Of rows that repeat its id and text one stays; rows without an id have no group, and all stay.
     """
     classes = written(spark, jaccard.jaccard_classes(spark, docs, size=NEAR_WORDS, scheme=NEAR), "near-classes")
-    # both are written first: their sizes are known then, and texts are shuffled only where these are large
-    others = written(spark, classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies")
-    repeated = written(spark, classes.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    # both are written first and counted: texts are shuffled only where these are large
+    others = small_first(written(spark, classes.where("component_id <> doc_id").select("doc_id").distinct(), "near-copies"))
+    repeated = small_first(written(spark, classes.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"))
     kept = docs.join(others, "doc_id", "left_anti")
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(docs.columns)
