@@ -10,8 +10,7 @@ import time
 from pyspark.sql import SparkSession
 
 from tessera.plans import migrations as m
-from tessera.sources.repo import CatalogRepo
-from tessera.sources.store import StoreRepo
+from tessera.sources.store import CatalogStore, StoreRepo
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -33,7 +32,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(s)
         return 0
     spark = spark or SparkSession.builder.getOrCreate()
-    repo = CatalogRepo(spark, database=args.database)
+    repo = CatalogStore(spark, database=args.database)
     if args.command == "setup":
         if not args.dry_run:
             repo.create_database()

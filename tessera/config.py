@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
+from tessera.errors import ConfigurationError
+
 
 @dataclass(frozen=True)
 class Config:
@@ -24,9 +25,8 @@ DEFAULT = Config()
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``; set here only where it is unset."""
+    """The folder that driver and executors share, which the session names in ``spark.checkpoint.dir``."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        raise ConfigurationError("set spark.checkpoint.dir to a folder that driver and executors share; the engine's own tables go there")
     return found.rstrip("/")

@@ -19,6 +19,8 @@ from tessera.schema import Resource
 log = logging.getLogger(__name__)
 
 KINDS = ("count", "sum", "avg", "min", "max")
+#: Records of a page whose keys are sent to the related rows before these are grouped.
+PAGE = 10_000
 
 
 @dataclass(frozen=True)
@@ -82,8 +84,8 @@ def _route(resource: Resource, a: Aggregate) -> tuple[Resource, str, str] | None
     return found.target, found.source_attribute, found.destination_attribute
 
 
-def attach(records: DataFrame, resource: Resource, aggregates: Iterable[Aggregate], rows_of: Callable[[Resource], DataFrame], config: Config = DEFAULT) -> DataFrame:
-    """``records`` with a column for each aggregate.
+def attach(records: DataFrame, resource: Resource, aggregates: Iterable[Aggregate], rows_of: Callable[[Resource], DataFrame], config: Config = DEFAULT, is_page: bool = False) -> DataFrame:
+    """``records`` with a column for each aggregate; of a page (``PAGE`` records at most) only the related rows are grouped.
 
     Aggregates that follow the same route share one grouping of the related rows and one left join; Spark
     combines on the map side and broadcasts a grouped side that is small. Without related rows, over several
@@ -104,7 +106,11 @@ def attach(records: DataFrame, resource: Resource, aggregates: Iterable[Aggregat
             continue
         related, source, destination = kinds[members[0].name]
         try:
-            sums = rows_of(related).groupBy(F.col(f"`{destination}`").alias("__key")).agg(*[expression(a, related, config).alias(a.name) for a in members])
+            rows = rows_of(related)
+            if is_page:
+                keys = records.select(F.col(f"`{source}`").alias("__wanted")).distinct()  # as many as the page's limit
+                rows = rows.join(F.broadcast(keys), F.col(f"`{destination}`") == F.col("__wanted"), "left_semi")
+            sums = rows.groupBy(F.col(f"`{destination}`").alias("__key")).agg(*[expression(a, related, config).alias(a.name) for a in members])
             out = out.join(sums, out[source] == sums["__key"], "left").drop("__key").withColumns({a.name: _filled(F.col(a.name), a.default) for a in members})
         except EngineError:
             if config.raise_on_aggregate_failure:

@@ -140,16 +140,13 @@ def pending(spark: SparkSession, resource: Resource, config: Config = DEFAULT, d
 
 
 _CREATE = re.compile(r"\s*CREATE TABLE (?:IF NOT EXISTS )?(\S+)", re.I)
-_ADD = re.compile(r"\s*ALTER TABLE (\S+) ADD COLUMNS? \(?\s*(`[^`]+`|\w+)", re.I)
 _INDEX = re.compile(r"\s*ALTER TABLE (\S+) SET TBLPROPERTIES \(('tessera\.index\.[^']+')", re.I)
 
 
 def reverse(statement: str) -> str | None:
-    """The statement that takes it back, or None where there is none."""
+    """The statement that takes it back, or None where there is none: Spark's file tables can't drop a column."""
     if m := _CREATE.match(statement):
         return f"DROP TABLE IF EXISTS {m[1]}"
-    if m := _ADD.match(statement):
-        return f"ALTER TABLE {m[1]} DROP COLUMN {m[2]}"
     if m := _INDEX.match(statement):
         return f"ALTER TABLE {m[1]} UNSET TBLPROPERTIES IF EXISTS ({m[2]})"
     return None

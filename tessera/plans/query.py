@@ -128,6 +128,11 @@ class Query:
                 out = out.filter(column)
         return out
 
+    def _related(self, resource: Resource) -> Query:
+        """A query of a related resource under this query's tenant."""
+        out = query(resource)
+        return out if self.tenant is None or out.tenant is not None else out.set_tenant(self.tenant)
+
     def order(self) -> list[Column]:
         return [ORDERS[o](F.col(f"`{n}`")) for n, o in self.sorts]
 
@@ -152,7 +157,7 @@ class Query:
             out = apply(out, list(self.calculations))
             made = [c.name for c in self.calculations if c.name in out.columns and (c.name not in before or c.name not in final)]
             if self.aggregates:
-                out = agg.attach(out, self.resource, self.aggregates, lambda r: Query(r).rows(repo), repo.config)
+                out = agg.attach(out, self.resource, self.aggregates, lambda r: self._related(r).rows(repo), repo.config, self.limited is not None and self.limited <= agg.PAGE)
                 if self.sorts:
                     out = out.orderBy(*self.order())
             return out.select(*final, *[m for m in dict.fromkeys(made) if m not in final], *[a.name for a in self.aggregates])
@@ -192,8 +197,10 @@ class Query:
 
 
 def query(resource: Resource) -> Query:
-    """A query of the resource with its default context."""
-    return Query(resource, context=dict(resource.default_context), tenant=resource.default_context.get("tenant"))
+    """A query of the resource with its default context; a tenant in it filters as ``set_tenant`` does."""
+    out = Query(resource, context=dict(resource.default_context))
+    tenant = resource.default_context.get("tenant")
+    return out if tenant is None else out.set_tenant(tenant)
 
 
 def stream(q: Query, repo: Repo, prefetch: bool = True) -> Iterator[Row]:

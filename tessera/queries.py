@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,11 @@ from tessera.config import Config, work_folder
 from tessera.functions.predicates import attr
 from tessera.operators.aggregates import Aggregate
 from tessera.operators.calculations import Calculation
+from tessera.plans.migrations import setup
 from tessera.plans.query import Query, query
 from tessera.schema import Attribute, Relationship, Resource
 from tessera.sources.repo import ParquetRepo
-from tessera.sources.store import StoreRepo
+from tessera.sources.store import CatalogStore, StoreRepo
 
 _INT, _BIG, _REAL, _TEXT, _NTZ = T.IntegerType(), "integer", "double", "string", "naive_datetime"
 
@@ -206,6 +208,107 @@ def _destroy_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query(ORDERS).select("o_orderkey").to_df(store)
 
 
+# ---- operators that have no query above
+
+
+@dataclass(frozen=True)
+class _Brackets:
+    """A calculation by a module: in batches, over the columns that it needs."""
+
+    def calculate(self, records, options):
+        return (records["c_acctbal"] // options["width"]).astype("int64")
+
+
+_simple("Q48_module_calculation", CUSTOMER, lambda q: q.select("c_custkey").calculate(Calculation("bracket", _Brackets(), "integer", ("c_acctbal",), {"width": 1000})), "SELECT c_custkey, CAST(floor(c_acctbal / 1000) AS BIGINT) AS bracket FROM customer")
+_simple("Q49_calculation_after_calculation", PART, lambda q: q.select("p_partkey").calculate(Calculation("half", F.col("p_size") * 2), Calculation("more", F.col("half") + 1)), "SELECT p_partkey, p_size * 2 AS half, p_size * 2 + 1 AS more FROM part")
+_simple("Q50_sorts_stack", ORDERS, lambda q: q.select("o_orderkey").sort("o_orderkey").sort(("o_orderstatus", "desc")).limit(40), "SELECT o_orderkey FROM orders ORDER BY o_orderstatus DESC NULLS LAST, o_orderkey LIMIT 40")
+_simple("Q51_filters_stack", ORDERS, lambda q: q.filter(a("o_orderstatus") == "F").filter(a("o_totalprice") < 50000, {"o_orderpriority": "1-URGENT"}).select("o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice < 50000 AND o_orderpriority = '1-URGENT'")
+_simple("Q52_distinct_rows", LABELS, lambda q: q.select("quality", "toxic").distinct(), "SELECT DISTINCT quality, toxic FROM labels")
+_simple("Q53_default_tenant", replace(EVENTS, default_context={"tenant": 3}), lambda q: q.select("event_id"), "SELECT event_id FROM events WHERE user_id = 3")
+_simple(
+    "Q54_page_of_related", CUSTOMER, lambda q: q.filter(a("c_acctbal") > 0).select("c_custkey").sort(("c_acctbal", "desc")).page(20).aggregate(Aggregate("n", "count", path=("orders",), default=0), Aggregate("low", "min", "o_totalprice", ("orders",))),
+    "SELECT c_custkey, coalesce(n, 0) AS n, low FROM (SELECT c_custkey FROM customer WHERE c_acctbal > 0 ORDER BY c_acctbal DESC NULLS LAST, c_custkey LIMIT 20) LEFT JOIN (SELECT o_custkey, count(*) AS n, min(o_totalprice) AS low FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey",
+)
+_simple("Q55_several_hops", NATION, lambda q: q.select("n_nationkey").aggregate(Aggregate("deep", "count", path=("region", "nations"), default=-1)), "SELECT n_nationkey, CAST(-1 AS INTEGER) AS deep FROM nation")
+_values("Q56_aggregate_default", ORDERS, (Aggregate("none", "max", "o_custkey", default=0), Aggregate("n", "count")), "SELECT coalesce(max(o_custkey), CAST(0 AS BIGINT)) AS none, count(*) AS n FROM orders WHERE o_orderstatus = 'none'", lambda q: q.filter(a("o_orderstatus") == "none"))
+_values("Q57_aggregates_ignore_pages", CUSTOMER, (Aggregate("n", "count"), Aggregate("top", "max", "c_acctbal")), "SELECT count(*) AS n, max(c_acctbal) AS top FROM customer", lambda q: q.sort("c_name").limit(3).offset(2))
+_simple("Q58_group_aggregates", ORDERS, lambda q: q.filter(a("o_totalprice") > 1000).group_by("o_orderpriority", aggregates=(Aggregate("n", "count"), Aggregate("first", "min", "o_orderdate"), Aggregate("open", "count", filter=a("o_orderstatus") == "O"))), "SELECT o_orderpriority, count(*) AS n, min(o_orderdate) AS first, count(*) FILTER (WHERE o_orderstatus = 'O') AS open FROM orders WHERE o_totalprice > 1000 GROUP BY o_orderpriority")
+_simple("Q59_tenant_in_context", EVENTS, lambda q: q.set_context({"actor": "a"}).set_tenant(5).filter(a("value") > 0).select("event_id", "value"), "SELECT event_id, value FROM events WHERE user_id = 5 AND value > 0")
+_simple("Q60_lock_reads_all", REGION, lambda q: q.lock("for_update").select("r_regionkey"), "SELECT r_regionkey FROM region")
+
+
+@_register("Q61_lenient_filters", "SELECT c_custkey FROM customer WHERE c_acctbal > 5000")
+def _lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An operator that can't be translated is dropped where that is configured."""
+    repo = ParquetRepo(spark, sf_dir, Config(raise_on_untranslatable_filter=False))
+    return query(CUSTOMER).filter(a("c_acctbal") > 5000, ("c_name", "no_such_operator", 1)).select("c_custkey").to_df(repo)
+
+
+@_register("Q62_generated_keys", "SELECT n_name, CAST(36 AS INTEGER) AS key_length FROM nation")
+def _generated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key get a UUID each."""
+    named = _resource("named", {"id": "uuid", "n_name": _TEXT}, ("id",))
+    store = StoreRepo(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
+    store.insert_frame(named, ParquetRepo(spark, sf_dir).scan(NATION).select("n_name"))
+    return store.scan(named).where(F.col("id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).select("n_name", F.length("id").alias("key_length"))
+
+
+@_register("Q63_uuid_filter", "SELECT CAST(7 AS BIGINT) AS c_custkey FROM range(1)")
+def _uuid_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers match whatever their case on insert or in the filter."""
+    keyed = _resource("keyed", {"id": "uuid", "c_custkey": _BIG}, ("id",))
+    store = StoreRepo(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
+    text = F.format_string("%032X", F.col("c_custkey"))
+    store.insert_frame(keyed, ParquetRepo(spark, sf_dir).scan(CUSTOMER).select(text.alias("id"), "c_custkey"))
+    return query(keyed).filter(a("id") == uuid.UUID(int=7)).select("c_custkey").to_df(store)
+
+
+@_register("Q64_update_record", "SELECT s_suppkey, CASE WHEN s_suppkey = 3 THEN 'renamed' ELSE s_name END AS s_name, CASE WHEN s_suppkey = 3 THEN NULL ELSE s_acctbal END AS s_acctbal FROM supplier WHERE s_suppkey <> 4")
+def _update_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark, sf_dir, SUPPLIER)
+    store.update(SUPPLIER, {"s_suppkey": 3}, {"s_name": "renamed", "s_acctbal": None})
+    store.destroy(SUPPLIER, {"s_suppkey": 4})
+    return query(SUPPLIER).select("s_suppkey", "s_name", "s_acctbal").to_df(store)
+
+
+@_register("Q65_insert_defaults", "SELECT r_regionkey, r_name, 'new' AS state FROM region")
+def _insert_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that the frame lacks takes its default."""
+    stated = Resource("stated", (*REGION.attributes, Attribute("state", default="new")))
+    store = StoreRepo(spark, f"{work_folder(spark)}/store-{uuid.uuid4().hex}")
+    store.insert_frame(stated, ParquetRepo(spark, sf_dir).scan(REGION))
+    return query(stated).to_df(store)
+
+
+def _migrated(spark: SparkSession, resource: Resource) -> CatalogStore:
+    store = CatalogStore(spark)
+    failed = [x for x in setup(store, [resource]).values() if isinstance(x, str)]
+    if failed:
+        raise RuntimeError(failed[0])
+    return store
+
+
+@_register("Q66_migrate_write_prune", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-03-01' AND o_orderdate < TIMESTAMP '1995-04-01'")
+def _migrate_write_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A migrated table partitioned by month: written through the repository, one month read back."""
+    dated = replace(ORDERS, name=f"orders_{uuid.uuid4().hex}", partition_by="toYYYYMM(o_orderdate)", relationships=())
+    store = _migrated(spark, dated)
+    # one task writes a month
+    store.insert_frame(dated, ParquetRepo(spark, sf_dir).scan(ORDERS).repartition(F.date_format("o_orderdate", "yyyyMM")))
+    return store.scan_month(dated, "199503").select("o_orderkey", "o_totalprice")
+
+
+@_register("Q67_evolve_by_adding", "SELECT n_nationkey, n_name, NULL::BIGINT AS people FROM nation UNION ALL SELECT CAST(1000 AS INTEGER), 'NEW', 5 FROM range(1)")
+def _evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column added to a table in use: old rows hold null."""
+    old = _resource(f"nation_{uuid.uuid4().hex}", {"n_nationkey": _INT, "n_name": _TEXT}, ("n_nationkey",))
+    _migrated(spark, old).insert_frame(old, ParquetRepo(spark, sf_dir).scan(NATION))
+    new = replace(old, attributes=(*old.attributes, Attribute("people", _BIG)))
+    store = _migrated(spark, new)
+    store.bulk_insert(new, [{"n_nationkey": 1000, "n_name": "NEW", "people": "5 or so"}])
+    return query(new).to_df(store)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Solvent customers with their orders' count and total, richest first, a page of them."""
     q = query(CUSTOMER).filter(a("c_acctbal") > 0).select("c_custkey", "c_name", "c_acctbal").sort(("c_acctbal", "desc")).page(20)

@@ -27,10 +27,17 @@ class Repo:
         """Raw SQL with ``?`` (or ``:name``) parameters; ``tables`` become views of that name for the statement."""
         with telemetry.span("tessera.query", query=sql), wrapped("raw SQL", sql, params):
             frames = {name: self.scan(r) for name, r in (tables or {}).items()}
-            if frames:
+            held = {t.name for t in self.spark.catalog.listTables() if t.isTemporary} if frames else set()
+            before = {name: self.spark.table(identifiers.checked(name)) for name in frames if name in held}
+            try:
                 for name, frame in frames.items():
                     frame.createOrReplaceTempView(identifiers.checked(name))
-            return self.spark.sql(sql, args=params if isinstance(params, dict) else list(params))
+                return self.spark.sql(sql, args=params if isinstance(params, dict) else list(params))
+            finally:  # the statement has been resolved
+                for name in frames:
+                    self.spark.catalog.dropTempView(name)
+                for name, frame in before.items():
+                    frame.createOrReplaceTempView(name)
 
     def ping(self) -> bool:
         try:

@@ -19,14 +19,15 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera import telemetry
+from tessera import identifiers, telemetry
 from tessera.config import DEFAULT, Config
 from tessera.errors import QueryError, wrapped
 from tessera.functions.predicates import Always, Both, Leaf, condition, to_column
 from tessera.functions.types import decode
+from tessera.plans.ddl import partition
 from tessera.plans.query import Query
 from tessera.schema import Attribute, Resource
-from tessera.sources.repo import Repo
+from tessera.sources.repo import CatalogRepo, Repo
 
 log = logging.getLogger(__name__)
 
@@ -51,17 +52,16 @@ class Files:
             stream.close()
 
     def create(self, file: str, text: str) -> None:
-        """Written aside, then renamed; fails where the file exists."""
-        aside = f"{file}.{uuid.uuid4().hex}"
-        out = self.fs.create(self.path(aside), False)
+        """Created without overwriting, so of two writers one fails."""
+        try:
+            out = self.fs.create(self.path(file), False)
+        except Exception as e:
+            raise QueryError(f"{file} was written by another writer") from e
         try:
             out.write(bytearray(text.encode()))
             out.hsync()
         finally:
             out.close()
-        if self.fs.exists(self.path(file)) or not self.fs.rename(self.path(aside), self.path(file)):
-            self.fs.delete(self.path(aside), False)
-            raise QueryError(f"{file} was written by another writer")
 
     def delete(self, folder: str) -> None:
         self.fs.delete(self.path(folder), True)
@@ -130,9 +130,8 @@ class StoreRepo(Repo):
         """Append a frame as one segment; columns by name, missing ones filled from defaults or null."""
         with telemetry.span("tessera.insert", resource=resource.name), wrapped("insert"):
             self.create(resource)
-            columns = [(F.col(f"`{a.name}`") if a.name in rows.columns else _default_column(a)).cast(a.field().dataType).alias(a.name) for a in resource.attributes]
             was, segments = self.version(resource)
-            self._commit(resource, was, [*segments, self._write(resource, rows.select(*columns))])
+            self._commit(resource, was, [*segments, self._write(resource, typed(resource, rows))])
 
     def insert(self, resource: Resource, values: dict[str, Any]) -> dict[str, Any]:
         """Insert one record and return it with its keys and defaults."""
@@ -188,7 +187,8 @@ class StoreRepo(Repo):
         if not changes:
             return
         with telemetry.span("tessera.update", resource=resource.name), wrapped("update"):
-            new = lambda a, hit: F.when(hit, F.lit(changes[a.name]).cast(a.field().dataType)).otherwise(F.col(f"`{a.name}`")).alias(a.name) if a.name in changes else F.col(f"`{a.name}`")
+            literals = {name: _literal(resource, resource.by_name[name], value) for name, value in changes.items()}
+            new = lambda a, hit: F.when(hit, literals[a.name]).otherwise(F.col(f"`{a.name}`")).alias(a.name) if a.name in changes else F.col(f"`{a.name}`")
             self._mutate(resource, where, lambda rows, hit: rows.select(*[new(a, hit) for a in resource.attributes]))
 
     def delete_where(self, resource: Resource, where: Any) -> None:
@@ -207,12 +207,19 @@ class StoreRepo(Repo):
 
     def update_query(self, query: Query, changes: dict[str, Any]) -> DataFrame:
         """Update what the query matches, then read it again: rows that stopped matching are not returned."""
+        self._whole(query, "update")
         self.update_where(query.resource, _all_of(query.filters), changes)
         return query.to_df(self)
 
     def destroy_query(self, query: Query) -> None:
+        self._whole(query, "delete")
         self.delete_where(query.resource, _all_of(query.filters))
 
+    def _whole(self, query: Query, what: str) -> None:
+        """A mutation takes a query's filters alone, so one that says which or how many of the rows is refused."""
+        if query.limited is not None or query.skipped or query.is_distinct or query.grouped:
+            raise QueryError(f"refused to {what} by a query with a limit, offset, distinct or groups; it would change all rows that match the filters")
+
     def _by_key(self, resource: Resource, record: dict[str, Any], filter: Any) -> Any:
         keys = {k: record[k] for k in resource.keys if record.get(k) is not None}
         if not keys or len(keys) < len(resource.keys):
@@ -234,6 +241,43 @@ class StoreRepo(Repo):
                 self.files.delete(f"{self.folder(resource)}/versions/{n}")
 
 
+class CatalogStore(CatalogRepo):
+    """The catalog's tables, as migrations make them, with appends: the repository to migrate, write and read by.
+
+    A derived partition column (the month of a date) is computed on write.
+    """
+
+    def insert_frame(self, resource: Resource, rows: DataFrame) -> None:
+        with telemetry.span("tessera.insert", resource=resource.name), wrapped("insert"):
+            out, parted = typed(resource, rows), partition(resource)
+            if parted and parted[0] not in resource.by_name:
+                out = out.withColumn(parted[0], F.expr(parted[1]))
+            if resource.layout_keys:
+                out = out.sortWithinPartitions(*([parted[0]] if parted else []), *resource.layout_keys)
+            name = identifiers.qualified(resource.table_name, resource.database or self.database)
+            writer = out.write.format("parquet").mode("append")
+            (writer.partitionBy(parted[0]) if parted else writer).saveAsTable(name)
+
+    def insert(self, resource: Resource, values: dict[str, Any]) -> dict[str, Any]:
+        return self.bulk_insert(resource, [values])[0]
+
+    def bulk_insert(self, resource: Resource, records: Iterable[dict[str, Any]], batch_size: int | None = None, **ignored: Any) -> list[dict[str, Any]]:
+        done: list[dict[str, Any]] = []
+        for part in batched(records, min(batch_size or self.config.insert_batch, self.config.insert_batch_most), strict=False):
+            full = [complete(resource, r) for r in part]
+            self.insert_frame(resource, self.spark.createDataFrame([tuple(r[a.name] for a in resource.attributes) for r in full], resource.schema()))
+            done += full
+        return done
+
+    def scan_month(self, resource: Resource, month: str) -> DataFrame:
+        """The rows of one partition of a derived month (``yyyyMM``); Spark reads no other."""
+        parted = partition(resource)
+        if not parted or parted[0] in resource.by_name:
+            raise QueryError(f"{resource.name} has no partition by month")
+        table = self.spark.table(identifiers.qualified(resource.table_name, resource.database or self.database))
+        return table.where(F.col(parted[0]) == month).select(*[identifiers.quoted(a.name) for a in resource.attributes])
+
+
 def _all_of(conditions: tuple[Any, ...]) -> Any:
     return None if not conditions else conditions[0] if len(conditions) == 1 else Both("and", conditions)
 
@@ -242,11 +286,48 @@ def _default_column(a: Attribute):
     if a.type == "uuid" and a.primary_key and a.default is None:
         return F.expr("uuid()")
     if callable(a.default):
-        log.warning("the default of %s is a function and applies to single records only", a.name)
-        return F.lit(None)
+        raise QueryError(f"the default of {a.name} is a function, which makes values for single records only; give the column")
     return F.lit(a.default)
 
 
+def typed(resource: Resource, rows: DataFrame) -> DataFrame:
+    """A frame with all attributes by name and type: UUIDs in canonical form, defaults for missing columns.
+
+    A null in a column that may not hold one fails the write.
+    """
+
+    def one(a: Attribute):
+        value = F.col(f"`{a.name}`") if a.name in rows.columns else _default_column(a)
+        if a.type == "uuid":
+            plain = F.lower(F.regexp_replace(value.cast("string"), "[-{}]", ""))
+            parts = [F.substring(plain, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+            value = F.when(plain.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", *parts)).otherwise(value)
+        value = value.cast(a.field().dataType)
+        if not a.field().nullable:
+            value = F.coalesce(value, F.raise_error(F.lit(f"{resource.name}.{a.name} may not be null")).cast(a.field().dataType))
+        return value.alias(a.name)
+
+    return rows.select(*[one(a) for a in resource.attributes])
+
+
+def _literal(resource: Resource, a: Attribute, value: Any):
+    """A column of one value, decoded as on insert."""
+    value = decode(value, a.type)
+    if value is None and not a.field().nullable:
+        raise QueryError(f"{resource.name}.{a.name} may not be null")
+    return _made(value).cast(a.field().dataType)
+
+
+def _made(value: Any):
+    if isinstance(value, dict):
+        return F.create_map(*[_made(x) for pair in value.items() for x in pair]) if value else F.create_map()
+    if isinstance(value, list):
+        return F.array(*[_made(x) for x in value])
+    if isinstance(value, tuple):
+        return F.struct(*[_made(x).alias(f"_{i}") for i, x in enumerate(value, 1)])
+    return F.lit(value)
+
+
 def complete(resource: Resource, values: dict[str, Any]) -> dict[str, Any]:
     """A record with all attributes: given values by type, defaults, generated keys, else null."""
     for name in values:
@@ -266,4 +347,4 @@ def complete(resource: Resource, values: dict[str, Any]) -> dict[str, Any]:
     return out
 
 
-__all__ = ["Always", "Files", "StoreRepo", "complete"]
+__all__ = ["Always", "CatalogStore", "Files", "StoreRepo", "complete", "typed"]
