@@ -16,6 +16,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ KEY_BYTES = 120
 QUERY_BYTES = 1 << 20
 #: Bytes of texts that are encoded and decoded at a time.
 ENCODE_BYTES = 2 << 20
-#: Bytes of a piece (no space, letters or signs only) beyond which its merges run on an array: the recursive
-#: query holds a row for each position and merge, the square of a piece's length.
+#: Bytes of a piece (no space, letters or signs only) beyond which its merges take a heap: the recursive query
+#: holds a row for each position and merge, the square of a piece's length.
 LONG_PIECE = 512
 
 _ODD = re.compile(r" (?:\s|$)")
@@ -189,7 +190,7 @@ class Bpe:
         merges, vocabulary = merge_table(self.ranks), pa.table({"tok": pa.array(self.ranks.values(), pa.int64()), "bytes": [t.decode("latin-1") for t in self.ranks]})
         self.db.register("merges_", merges)
         self.db.register("vocabulary_", vocabulary)
-        self.pairs = {(p >> 32, p & 0xFFFFFFFF): r for p, r in zip(merges["pair"].to_pylist(), merges["rank"].to_pylist(), strict=True)}
+        self.pairs = dict(zip(merges["pair"].to_pylist(), merges["rank"].to_pylist(), strict=True))
         self.db.execute("CREATE TABLE merges AS FROM merges_; CREATE TABLE vocabulary AS FROM vocabulary_")
         self.pieces = Remembered(self.encode_pieces)
         self.texts = ChunkEncoder(by_space, self.encode_chunks)
@@ -243,17 +244,25 @@ class Bpe:
         return ids, lengths
 
     def contract_long(self, piece: bytes) -> np.ndarray:
-        """The same contraction for one very long piece, one array pass a merge."""
-        tok = self.byte[np.frombuffer(piece, np.uint8)]
-        none = np.iinfo(np.int64).max
-        rank = np.array([self.pairs.get(p, none) for p in zip(tok[:-1].tolist(), tok[1:].tolist(), strict=True)], np.int64)
-        while len(rank) and rank[at := int(rank.argmin())] != none:
-            tok[at] = rank[at]
-            tok, rank = np.delete(tok, at + 1), np.delete(rank, at)
-            for k in (at - 1, at):
-                if 0 <= k < len(rank):
-                    rank[k] = self.pairs.get((int(tok[k]), int(tok[k + 1])), none)
-        return tok
+        """The same contraction for one very long piece: a heap of pairs by rank and place, tokens in a linked list."""
+        tok = self.byte[np.frombuffer(piece, np.uint8)].tolist()
+        n = len(tok)
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        rank_of = lambda i: self.pairs.get(tok[i] << 32 | tok[after[i]]) if after[i] >= 0 else None
+        heap = [r << 32 | i for i in range(n) if (r := rank_of(i)) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = divmod(heappop(heap), 1 << 32)
+            if tok[i] < 0 or rank_of(i) != rank:  # merged since, here or with its left neighbour
+                continue
+            gone = after[i]
+            tok[i], tok[gone], after[i] = rank, -1, after[gone]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and (r := rank_of(k)) is not None:
+                    heappush(heap, r << 32 | k)
+        return np.array([t for t in tok if t >= 0], np.int64)
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """The bytes of each document's ids."""

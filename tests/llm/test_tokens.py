@@ -72,9 +72,10 @@ def test_remembered_keys_are_trimmed_by_use():
     assert len(r.index) == r.bytes == len(r.rows) == 0
 
 
-def test_long_pieces_take_the_array_way(tiktoken_encoding):
+def test_long_pieces_take_the_heap(tiktoken_encoding):
     b = bpe.worker(BYTE, P.PATTERN)
-    for text in ("a" * 2000, "abcab" * 300, "日本" * 400):
+    letters = "".join(np.random.default_rng(3).choice(list("etaoinshrdlu"), 1 << 20))
+    for text in ("a" * 2000, "abcab" * 300, "日本" * 400, letters[:600], letters):
         ids, _ = b.texts.encode([text])
         assert ids.tolist() == tiktoken_encoding.encode_ordinary(text)
 
