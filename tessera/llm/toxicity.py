@@ -9,7 +9,7 @@ outburst in a long text isn't diluted.
 Training takes a sample of labelled rows (``TOXIC`` and ``CLEAN`` of them at most, about, by a hash of the key; one
 row a key), whole texts whatever their length. Spark counts in how many of them each word and n-gram occurs, by
 label; those in ``SEEN`` texts or more have vectors, which start from their log odds, all others share zero. Then
-Spark cuts the texts into windows and keeps of each the ``TOP`` with most evidence and ``OTHERS`` at even distance,
+Spark cuts the texts into windows and keeps of each the ``TOP`` with most evidence (of clean ones ``OTHERS`` besides),
 so what reaches the driver is bounded by the number of rows. There, in numpy, the window of each toxic text that
 scores highest so far is a positive, chosen anew in every round, and windows of clean texts are negatives. Words and
 n-grams are left out at random, so neither table learns to do without the other.
@@ -34,8 +34,8 @@ from tessera.llm.wordscan import Words, bucket, words
 
 #: Bounds of the training sample.
 TOXIC, CLEAN = 3000, 6000
-#: Windows with most evidence, and others, that are kept of a training text; texts that must hold a word or n-gram.
-TOP, OTHERS, SEEN = 3, 5, 3
+#: Windows with most evidence that are kept of a training text, others of a clean one; texts that must hold a bucket.
+TOP, OTHERS, SEEN = 3, 4, 3
 #: Share of the toxic texts that must hold a bucket for half of its log odds to count.
 PRIOR = 0.1
 #: Words of a window, words from one window to the next, hidden units of a direction, numbers of a vector.
@@ -48,7 +48,7 @@ BATCH, STEPS, ROUNDS, LEFT_OUT = 128, 80, 6, 0.25
 #: Step sizes of the network and of the tables, and what positives weigh against negatives.
 RATE, TABLE_RATE, POSITIVE = 0.01, 0.00005, 0.4
 #: Share of toxic texts with the least evidence that a round leaves out: labels are noisy.
-TRIM = 0.1
+TRIM = 0.05
 THRESHOLD = 0.7
 
 
@@ -236,19 +236,37 @@ class ToxicityModel:
         return out
 
 
+def distinct_words(texts: list[str], size: int = 2048) -> tuple[np.ndarray, np.ndarray, Words]:
+    """(number of each word among the distinct ones, words of each text, the distinct words), a few texts at a time."""
+    hashes, counts, seen, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.zeros(0, np.uint64), []
+    for a in range(0, len(texts), size):
+        w = words(pa.array(texts[a : a + size], pa.string()))
+        own = word_hashes(w)
+        found, which = np.unique(own, return_index=True)
+        new = ~np.isin(found, seen)
+        held.append((found[new], only(w, which[new])))
+        seen = np.union1d(seen, found[new])
+        hashes.append(own)
+        counts.append(w.counts)
+    names = np.concatenate([h for h, _ in held]) if held else seen
+    together = lambda f: np.concatenate([f(k) for _, k in held]) if held else np.zeros(0, np.int64)
+    length = together(lambda k: k.length)
+    all_new = Words(together(lambda k: k.low), together(lambda k: k.before), together(lambda k: k.after), np.cumsum(length) - length, length, np.zeros(len(length), np.int64), np.array([len(length)]))
+    return np.searchsorted(seen, np.concatenate(hashes)), np.concatenate(counts), only(all_new, np.argsort(names))
+
+
 def fit(texts: list[str], of: np.ndarray, toxic: np.ndarray, of_word: Table, of_gram: Table, seed: int = 5) -> ToxicityModel:
     """Train on windows (``of``: the number of each window's text; 1 toxic); the tables' rows are trained as well."""
     if not (toxic == 1).any() or not (toxic == 0).any():
         return ToxicityModel(None, None, None)
     rng = np.random.default_rng(seed)
-    w = words(pa.array(texts, pa.string()))
-    hashes, which, place = np.unique(word_hashes(w), return_index=True, return_inverse=True)
-    kinds = only(w, which)
+    place, counts, kinds = distinct_words(texts)
+    hashes = word_hashes(kinds)
     word_row = of_word.places(word_buckets(hashes))
-    gram_row = np.stack([of_gram.places(g) for g in grams(kinds)])  # (n-gram sizes, letters)
+    gram_row = np.stack([of_gram.places(g).astype(np.int32) for g in grams(kinds)])  # (n-gram sizes, letters)
     p = new_parameters(rng) | {"words": of_word.rows, "grams": of_gram.rows}
     model = ToxicityModel(Table(of_word.held, p["words"]), Table(of_gram.held, p["grams"]), p)
-    first, length = np.cumsum(w.counts) - w.counts, np.minimum(w.counts, WINDOW)
+    first, length = np.cumsum(counts) - counts, np.minimum(counts, WINDOW)
     some = np.flatnonzero(length)
     first, length, label, of = first[some], length[some], toxic[some], of[some]
     vectors = lambda: np.concatenate([p["words"][word_row], np.maximum.reduceat(p["grams"][gram_row].sum(0), kinds.first, axis=0)], 1)
@@ -256,7 +274,7 @@ def fit(texts: list[str], of: np.ndarray, toxic: np.ndarray, of_word: Table, of_
     x, step = vectors(), 0
     strength = np.array([2 * x[place[a : a + b]][:, [0, SIZE]].sum(1).max() - 3 for a, b in zip(first, length, strict=True)])
     clean = np.flatnonzero(label == 0)
-    letters = np.repeat(np.arange(len(which)), kinds.length)
+    letters = np.repeat(np.arange(len(kinds.length)), kinds.length)
     for _ in range(ROUNDS):
         order = np.lexsort((-strength, of))
         top = order[np.append(True, of[order][1:] != of[order][:-1])]
@@ -363,7 +381,8 @@ def cut_windows(rows: DataFrame, held: np.ndarray, weight: np.ndarray) -> pa.Tab
                 rank = np.arange(len(order)) - np.searchsorted(text[order], text[order], "left")
                 step = np.maximum(1, (np.bincount(text, minlength=len(w.counts)) - TOP) // OTHERS)[text[order]]
                 doc = batch.column(0).to_numpy()
-                keep = (rank < TOP) | ((rank - TOP) % step == 0) & ((rank - TOP) // step < OTHERS)
+                more = batch.column(2).to_numpy()[text[order]] == 0
+                keep = (rank < TOP) | more & ((rank - TOP) % step == 0) & ((rank - TOP) // step < OTHERS)
                 chosen = order[keep]
                 strings = batch.column(1).to_pylist()
                 starts, ends = w.start[first[chosen]], w.end[first[chosen] + size[chosen] - 1]
