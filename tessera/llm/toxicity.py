@@ -44,7 +44,7 @@ WINDOW, STRIDE, HIDDEN, SIZE = 32, 16, 6, 6
 BITS, GRAMS = 20, (3, 5)
 INPUTS = 2 * SIZE
 #: Windows in a training step, steps of a round, rounds, share of words and n-grams left out.
-BATCH, STEPS, ROUNDS, LEFT_OUT = 128, 80, 6, 0.25
+BATCH, STEPS, ROUNDS, LEFT_OUT = 128, 60, 6, 0.25
 #: Step sizes of the network and of the tables, and what positives weigh against negatives.
 RATE, TABLE_RATE, POSITIVE = 0.01, 0.00005, 0.4
 #: Share of toxic texts with the least evidence that a round leaves out: labels are noisy.
