@@ -219,7 +219,8 @@ def buckets(spark: SparkSession, signed: DataFrame) -> DataFrame:
     Then each set's signatures of a band, no more than its own elements, are put in order and the last ones left out.
     """
     signed = written(spark, signed, "signed")
-    sizes = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # written first: its shuffle has gone from the disk when that of the join comes
+    sizes = written(spark, signed.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
     shared = written(spark, signed.join(sizes.hint("merge"), "sig"), "shared")
     discard(spark, signed)
     ordered = shared.groupBy("node", "band").agg(F.max("left").alias("left"), F.sort_array(F.collect_set(F.struct("size", "sig"))).alias("all"))
