@@ -4,8 +4,13 @@ A bounded number of rows serve as pivots. Every vector is represented by its ``p
 of nearness; a block of vectors is posted in one inverted file per pivot, which lists the vectors that have that
 pivot in their prefix and where. A query walks the files of its own prefix and adds up, vector by vector, what
 each shared pivot takes off the footrule distance (the sum of place differences, with absent pivots at the
-end). The nearest ``share`` of a block by that distance, ties to the smaller id, are reranked by the exact inner
-product in double precision, and the best of all blocks make the result.
+end). The pivots' own distances and cosines tell what cosine a distance stands for, and how far off that may be;
+so a vector's rank is its distance, read as a cosine, times its norm, as the measure is the inner product.
+
+The first ``share`` of a block by that rank, ties to the smaller id, are reranked by the exact inner product in
+double precision. Then all others follow whose inner product, at ``DOUBT`` deviations above what their distance
+stands for, would still reach the ``k``-th best found: few for most queries, a whole crowd of near copies where the
+query lies in one. The best of all blocks make the result.
 
 Spark sends each block of queries to each block of the index, so no task holds more than two blocks, and no row
 is left out of the index.
@@ -29,8 +34,10 @@ from tessera.llm.vectors import matrix, usable
 
 #: Pivots at most, their places that count, vectors of an index block, queries of a query block.
 PIVOTS, PREFIX, BLOCK, QUERIES = 256, 64, 16384, 2048
-#: The share of a block, and the least number, that is reranked.
-SHARE, LEAST = 0.4, 1024
+#: The share of a block, and the least number, that is reranked first; deviations of doubt for the others.
+SHARE, LEAST, DOUBT = 1 / 32, 256, 3.0
+#: With fewer pivots distances tell nothing, and all of a block is reranked.
+FEW = 16
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -52,14 +59,43 @@ class InvertedFiles:
         self.rows = [by[a:b] // self.prefix for a, b in zip(ends, ends[1:], strict=False)]
         self.places = [(by[a:b] % self.prefix).astype(np.int32) for a, b in zip(ends, ends[1:], strict=False)]
 
-    def nearest(self, order: np.ndarray, most: int) -> np.ndarray:
-        """The ``most`` rows of least footrule distance from a prefix, ties to the earlier row."""
+    def shared(self, order: np.ndarray) -> np.ndarray:
+        """What the pivots of a prefix take off each row's footrule distance from it."""
         shared = np.zeros(self.n, np.int64)
         for place, pivot in enumerate(order):
             shared[self.rows[pivot]] += self.prefix - np.maximum(self.places[pivot], place)
-        if most >= self.n:
-            return np.arange(self.n)
-        return np.argpartition(-shared * self.n + np.arange(self.n), most - 1)[:most]
+        return shared
+
+    def nearest(self, order: np.ndarray, most: int) -> np.ndarray:
+        """The ``most`` rows of least footrule distance from a prefix, ties to the earlier row."""
+        return foremost(self.shared(order), most)
+
+
+def foremost(value: np.ndarray, most: int) -> np.ndarray:
+    """The ``most`` rows of largest value, ties to the earlier row."""
+    if most >= len(value):
+        return np.arange(len(value))
+    least = np.partition(value, len(value) - most)[len(value) - most]
+    above = np.flatnonzero(value > least)
+    return np.concatenate([above, np.flatnonzero(value == least)[: most - len(above)]])
+
+
+def cosine_of_shared(pivots: np.ndarray, prefix: int) -> tuple[float, float, float]:
+    """(at 0, slope, deviation) of the line that gives two vectors' cosine by what their prefixes share, as the pivots
+    show it; without enough pivots, or where all share the same, the deviation is infinite."""
+    if len(pivots) < FEW:
+        return 0.0, 0.0, np.inf
+    order = permutations(pivots, pivots, prefix)
+    files = InvertedFiles(order, len(pivots))
+    shared = np.array([files.shared(o) for o in order], np.float64)
+    unit = pivots / np.sqrt((pivots * pivots).sum(1, keepdims=True))
+    apart = ~np.eye(len(pivots), dtype=bool)
+    x, y = shared[apart], (unit @ unit.T)[apart]
+    if x.std() == 0:
+        return 0.0, 0.0, np.inf
+    slope = ((x - x.mean()) * (y - y.mean())).mean() / x.var()
+    start = y.mean() - slope * x.mean()
+    return float(start), float(slope), float((y - start - slope * x).std())
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS, prefix: int = PREFIX) -> DataFrame:
@@ -84,14 +120,26 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int =
         if len(q) and len(c):
             data, pivot = np.ascontiguousarray(x[c]), axes[dims]
             files = InvertedFiles(permutations(data, pivot, prefix), len(pivot))
-            most = max(LEAST, int(np.ceil(SHARE * len(c))))
+            start, slope, deviation = cosine_of_shared(pivot, prefix)
+            norm = np.sqrt((data * data).sum(1))
+            most = max(LEAST, int(np.ceil(SHARE * len(c)))) if np.isfinite(deviation) else len(c)
             for i, order in zip(q, permutations(x[q], pivot, prefix), strict=True):
-                near = files.nearest(order, most)
-                near = near[ids[c[near]] != ids[i]]
+                cosine = start + slope * files.shared(order) if most < len(c) else np.zeros(len(c))
+                near = foremost(cosine * norm, most)
                 score = data[near] @ x[i]
+                known = score[ids[c[near]] != ids[i]]
+                if most < len(c):
+                    least = np.partition(known, len(known) - k)[len(known) - k] if len(known) >= k else -np.inf
+                    hopeful = (cosine + DOUBT * deviation) * norm * np.sqrt(x[i] @ x[i]) >= least
+                    hopeful[near] = False
+                    more = np.flatnonzero(hopeful)
+                    near, score = np.concatenate([near, more]), np.concatenate([score, data[more] @ x[i]])
+                others = ids[c[near]] != ids[i]
+                near, score = near[others], score[others]
                 if len(near) > k:
                     cut = np.partition(score, len(score) - k)[len(score) - k]
-                    near, score = near[score >= cut - 1e-9], score[score >= cut - 1e-9]
+                    cut -= 1e-9 * max(1.0, abs(cut))
+                    near, score = near[score >= cut], score[score >= cut]
                 score = (data[near] * x[i]).sum(1)
                 best = np.lexsort((ids[c[near]], -score))[:k]
                 out.append((np.full(len(best), ids[i]), ids[c[near[best]]], score[best]))

@@ -107,6 +107,40 @@ def test_recall_and_exact_scores(spark, monkeypatch):
         assert np.allclose([-s for s, _ in near], [np.dot(np.array(v[q], np.float64), np.array(v[i], np.float64)) for _, i in near], rtol=1e-12)
 
 
+def test_recall_of_uneven_norms_and_of_a_crowd(spark, monkeypatch):
+    """Norms of a lognormal distribution, and (other lengths) a third of near copies and a third of exact ones; rows that don't ask are null."""
+    monkeypatch.setattr(permutation, "LEAST", 32)
+    gen = np.random.default_rng(6)
+    uneven = gen.normal(size=(2400, 32))
+    uneven *= np.exp(gen.normal(size=(2400, 1)))
+    crowd = gen.normal(size=(2400, 24))
+    crowd[800:1600] = crowd[0] + gen.normal(size=(800, 24)) * 0.05
+    crowd[1600:] = crowd[1]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate([*uneven.astype(np.float32), *crowd.astype(np.float32)])]
+    got = permutation.nearest(spark, frame(spark, rows), F.when(F.col("vec_id") % 20 == 0, F.lit(True))).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r["query_id"], set()).add(r["vec_id"])
+    for data, first in ((uneven, 0), (crowd, 2400)):
+        x = data.astype(np.float32).astype(np.float64)
+        hits = []
+        for q in range(0, 2400, 20):
+            score = (x * x[q]).sum(1)
+            score[q] = -np.inf
+            hits.append(len(held[first + q] & {first + int(i) for i in np.lexsort((np.arange(2400), -score))[:20]}))
+        assert sum(hits) >= 0.9 * 20 * len(hits)
+
+
+def test_what_shared_pivots_stand_for():
+    gen = np.random.default_rng(7)
+    pivots = gen.normal(size=(200, 16))
+    start, slope, deviation = permutation.cosine_of_shared(pivots, 50)
+    assert slope > 0
+    assert 0 < deviation < 0.2
+    assert permutation.cosine_of_shared(pivots[:5], 50)[2] == np.inf
+    assert permutation.foremost(np.array([3, 1, 3, 2, 3]), 2).tolist() == [0, 2]
+
+
 def test_few_candidates(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.0], 1), (2, [0.5, 0.0], 1), (20, [0.0, 0.0], 1), (40, [1.0], 1), (None, [9.0, 9.0], 1)]
     got = permutation.nearest(spark, frame(spark, rows), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
