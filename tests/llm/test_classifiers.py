@@ -209,6 +209,18 @@ def test_spans_scripts_and_odd_rows(spark, docs, odd):
     assert langid.language_spans(spark, docs([]), F.lit(True)).collect() == []
 
 
+def test_one_text_of_very_many_words(spark, docs):
+    """130,000 words, the last fifth in another language: spans cover the whole text."""
+    train = [(1000 + i, LATIN[k], ("en", "de")[k], "a") for i in range(40) for k in (i % 2,)]
+    text = f"{LATIN[0]} " * 8000 + f"{LATIN[1]} " * 2000
+    frame = docs([*train, (50, text, None, "a")])
+    got = next(r for r in langid.language_spans(spark, frame, F.col("doc_id") >= 1000).collect() if r["doc_id"] == 50)
+    assert got["lang_pred"] == "en"
+    assert [s["lang"] for s in got["spans"]] == ["en", "de"]
+    assert got["spans"][1]["start"] == pytest.approx(len(LATIN[0] + " ") * 8000, abs=5)
+    assert got["spans"][1]["end"] == len(text) - 1
+
+
 def test_viterbi_equals_all_paths():
     gen = np.random.default_rng(4)
     counts = np.array([3, 0, 1, 5])

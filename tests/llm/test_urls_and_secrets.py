@@ -43,6 +43,14 @@ def test_url_verdicts(spark):
     assert all(r["n_candidates"] <= 3 for r in got)
 
 
+def test_very_long_urls(spark):
+    """A path, a host and a query of 200,000 letters each."""
+    urls = ["https://b.com/en/" + "x/" * 100_000, "https://" + "sub." * 50_000 + "example.net/de/8", "http://z.org/es/?" + "a=b&" * 50_000, "x" * 200_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for r in url_filter.judge_urls(pages).collect():
+        assert (r["host"], r["path"], r["rule"], r["verdict"]) == plain(urls[r["page_id"]])
+
+
 def test_rules_lie_under_their_rarest_token():
     index = url_filter.rule_index(url_filter.SITE_RULES, {"h:com": 50, "p:en": 40, "h:example": 60, "h:net": 9, "p:de": 10})
     assert {r.text for r in index["p:en"]} == {"com/en/", "example.com/en/7"}
