@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of one Arrow batch handed to Python, whatever the length of its texts.
@@ -49,9 +49,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_first(df: DataFrame) -> DataFrame:
-    """A written table of a few numbers a row, to be broadcast if it has at most ``BROADCAST_ROWS`` rows; else Spark sorts and merges."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small_first(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """A written table of a few numbers a row, to be broadcast if it has at most ``BROADCAST_ROWS`` rows; else Spark sorts and merges.
+
+    Where a row holds a list, ``weight`` tells how many rows it counts as.
+    """
+    rows = df.count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def discard(spark: SparkSession, df: DataFrame) -> None:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import bounded_batches, pieces_of, utf8, written
+from tessera.llm.common import bounded_batches, pieces_of, small_first, utf8, written
 
 #: The base kinds and how long a match (of assign: its value) must be.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -143,14 +143,16 @@ def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
 def redact(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str = "[secret]", **options) -> DataFrame:
     """The documents with each live-looking span replaced by ``mark``; widely copied examples stay.
 
-    Scans with ownership counts first, then walks the texts again: a text's live values come with a
-    join by key; overlapping spans are replaced as one.
+    Scans with ownership counts first, then walks the texts again: a text's live values are written and
+    come with a join by key, which shuffles texts only where the spans are too many to broadcast;
+    overlapping spans are replaced as one.
     """
     columns = docs.columns
     hashed = docs.withColumn("hash_", F.xxhash64(text))
     spots = find_secrets(spark, hashed.withColumn("key_", F.struct(F.col(key).alias("key"), "hash_")), "key_", text, **options)
     spots = spots.select("key_", F.filter("spans", lambda s: s["live"]).alias("spans")).where(F.size("spans") > 0)
     spots = spots.select(F.col("key_.key").alias("key_"), F.col("key_.hash_").alias("same_"), F.sort_array(F.transform("spans", lambda s: F.struct(s["start"], s["end"]))).alias("spots_")).dropDuplicates(["key_", "same_"])
+    spots = small_first(written(spark, spots, "secret-spots"), F.size("spots_") + 1)
     joined = hashed.join(spots, F.col(key).eqNullSafe(F.col("key_")) & (F.col("hash_") == F.col("same_")), "left")
     step = lambda a, s: F.struct(
         F.when(s["start"] >= a["at"], F.concat(a["out"], F.substr(F.col(text), a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).otherwise(a["out"]).alias("out"),
