@@ -82,8 +82,9 @@ def train(docs: DataFrame, text: str, lang: str, learn: Column, per_language: in
         yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(at), pa.array(flat[of, at])], ["of", "at", "n"])
 
     flat = np.zeros((len(languages), (1 << BITS) + len(_NAMES)))
-    for r in sample.mapInArrow(counted, "of long, at long, n long").groupBy("of", "at").agg(F.sum("n").alias("n")).collect() if languages else ():
-        flat[r["of"], r["at"]] = r["n"]
+    if languages:  # at most one row a language and bucket, in Arrow batches
+        sums = sample.mapInArrow(counted, "of long, at long, n long").groupBy("of", "at").agg(F.sum("n").alias("n")).toArrow()
+        flat[sums["of"].to_numpy(), sums["at"].to_numpy()] = sums["n"].to_numpy()
     grams, scripts = flat[:, : 1 << BITS] + 0.2, flat[:, 1 << BITS :]
     logs = np.log(grams / grams.sum(1, keepdims=True)).T if languages else np.zeros((1 << BITS, 0))
     writes = (scripts >= WRITES * scripts.sum(1, keepdims=True)) & (scripts > 0)

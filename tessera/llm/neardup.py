@@ -33,7 +33,7 @@ TILE, SPARSE = 1024, 0.05
 
 
 def moments(vectors: DataFrame, dims: int) -> np.ndarray:
-    """Sum of x x' over unit vectors; partial sums of each task meet in Spark, ``dims`` squared rows come back."""
+    """Sum of x x' over unit vectors; partial sums of each task meet in Spark, ``dims`` squared numbers come back in Arrow batches."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims, dims))
@@ -43,10 +43,9 @@ def moments(vectors: DataFrame, dims: int) -> np.ndarray:
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims)), pa.array(total.reshape(-1))], ["at", "value"])
 
-    sums = vectors.mapInArrow(partial, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).collect()
+    sums = vectors.mapInArrow(partial, "at long, value double").groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     out = np.zeros(dims * dims)
-    for r in sums:
-        out[r["at"]] = r["value"]
+    out[sums["at"].to_numpy()] = sums["value"].to_numpy()
     return out.reshape(dims, dims)
 
 
