@@ -16,6 +16,7 @@ follow each other by a hash of their texts; an empty table writes no block; extr
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -43,6 +44,21 @@ _END = struct.Struct("<I4s")
 # ---------------------------------------------------------------- encoding
 
 
+#: The normalizer and splitter that the word cache reproduces; any other tokenizer encodes whole texts.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": PARTS}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def splits_words(settings: dict) -> bool:
+    """Whether a tokenizer file normalizes and splits as the word cache does, with added tokens that hold ``<``, ``|`` or ``>``."""
+    same = settings["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS} and settings["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": SPLITTERS}
+    return same and all(set(t["content"]) & set("<|>") and t["content"].split() == [t["content"]] for t in settings["added_tokens"])
+
+
 class WordEncoder:
     """One worker's tokenizer with the words and word parts that it has met."""
 
@@ -53,8 +69,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.width = max(1, (self.tokenizer.get_vocab_size() - 1).bit_length())
-        #: Fixed value: how this tokenizer splits a word into parts.
-        self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            self.by_words = splits_words(json.load(f))
+        self.parts = regex.compile(PARTS)
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = iter(range(256, 512))
         self.letters = [chr(b) if b in printable else chr(next(others)) for b in range(256)]  # byte-level alphabet
@@ -70,6 +89,9 @@ class WordEncoder:
         """All ids of a string array's texts and how many each text has."""
         data = utf8(array)[0]
         texts = [t or "" for t in array.to_pylist()]
+        if not self.by_words:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array([x for r in ids for x in r], np.uint32), np.array([len(r) for r in ids], np.int64)
         if len(data) and data.max() < 0xCC and not (data == ord("<")).any():  # below U+0300 nothing composes
             texts = [t.lower() for t in texts]
         if len(data) and ((data >= 0x1C) & (data <= 0x1F)).any():  # white space to Python only

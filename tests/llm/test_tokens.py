@@ -149,3 +149,16 @@ def test_packing(spark, docs, odd, word_tokenizer):
         assert offset + length <= 64
         at += length
     assert tokens.pack_sequences(spark, docs([]), WORD).collect() == []
+
+
+@pytest.mark.parametrize("name, cached", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_are_the_library_s_for_any_tokenizer(strings, odd, name, cached):
+    from tokenizers import Tokenizer
+
+    path = P.path(name)
+    encoder, library = tokens.WordEncoder(path), Tokenizer.from_file(path)
+    assert encoder.by_words == cached
+    texts = [t for _, t, _, _ in odd]
+    ids, sizes = encoder.encode(strings(texts))
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
