@@ -15,6 +15,7 @@ from tessera.functions.predicates import Leaf, to_column
 from tessera.operators import aggregates as agg
 from tessera.operators.aggregates import Aggregate
 from tessera.operators.calculations import Calculation, apply
+from tessera.operators.offset import skip
 from tessera.schema import Resource
 from tessera.sources.repo import Repo
 
@@ -163,9 +164,20 @@ class Query:
             return out.select(*final, *[m for m in dict.fromkeys(made) if m not in final], *[a.name for a in self.aggregates])
 
     def _cut(self, out: DataFrame, sorts: Any) -> DataFrame:
+        """Sort, skip and limit. Spark skips in one task: beyond a page the first rows are filtered out before the sort.
+
+        A sort by computed values of groups stays with Spark, as sums of doubles may differ from run to run.
+        """
+        deep = self.skipped and sorts and (self.limited is None or self.skipped + self.limited > agg.PAGE)
+        deep = deep and (not self.grouped or {n for n, _ in sorts} <= set(self.grouped))
+        if deep:
+            keys: dict[str, str] = {}
+            for name, order in (*sorts, *((g, "asc") for g in self.grouped)):
+                keys.setdefault(name, order)
+            out = skip(out, list(keys.items()), self.skipped, ORDERS)
         if sorts:
             out = out.orderBy(*[ORDERS[o](F.col(f"`{n}`")) for n, o in sorts])
-        if self.skipped:
+        if self.skipped and not deep:
             out = out.offset(self.skipped)
         return out if self.limited is None else out.limit(self.limited)
 
