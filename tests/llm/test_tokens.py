@@ -88,6 +88,22 @@ def test_word_encoder_equals_the_library(word_tokenizer, strings, texts):
     assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes, strict=True)] == [x.ids for x in word_tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_new_words_are_cut_into_parts_in_one_pass(word_tokenizer):
+    encoder, calls = tokens.WordEncoder(WORD), []
+    found = encoder.parts
+
+    class Counted:
+        def findall(self, text):
+            calls.append(len(text))
+            return found.findall(text)
+
+    encoder.parts = Counted()
+    words = [f"{x}{i}{y}" for i in range(60) for x in ("it's", "<|", "\u023aB", "\u0130I", "\u00bd") for y in ("", "'ll,", "\u0301")] + ["\u5b57", "..."]
+    ids, counts = encoder.encode_words(words)
+    assert len(calls) == 1
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [e.ids for e in word_tokenizer.encode_batch(words, add_special_tokens=False)]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.integers(1, 32), st.data())
 def test_bit_packing(width, data):
