@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding through DuckDB recursive queries in each task.
 
 A text is cut into chunks at spaces before a non-space (a piece of the pattern never spans such a place), and
-chunks that a worker has met before are looked up. The pieces of new chunks go to DuckDB as token-position
-rows: a recursive query joins neighbours with the merge table and contracts, in every piece still open, its
-leftmost pair of minimum rank, until no piece has a pair left. Decoding is an ordered aggregation of the
-ids' byte strings. A piece that is itself in the vocabulary takes its id at once, as the format asks.
+chunks that a worker has met before are looked up. The pieces of new chunks go to DuckDB, one row a piece with
+the lists of its token ids and of the ranks of neighbours: a recursive query contracts, in every piece still open,
+its leftmost pair of minimum rank and joins the two new pairs with the merge table, until no piece has a pair left.
+Decoding joins the ids' byte strings in a query too. A piece that is itself in the vocabulary takes its id at
+once, as the format asks.
 
 Defined cases: null and empty texts have no ids and decode to nothing; repeated rows are encoded alike; extra
 columns are ignored; texts without spaces are single chunks, whatever their length.
@@ -17,24 +18,35 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from heapq import heapify, heappop, heappush
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tessera.llm.common import bounded_batches, pieces_of, spread
 
 #: Bytes (about) of chunks, and of pieces, that a task remembers; what it has forgotten it encodes anew.
 CACHE_BYTES = 16 << 20
+#: The same of the chunks, and of the pieces, that byte-level encoding remembers.
+BPE_CACHE_BYTES = 32 << 20
 #: Bytes (about) of one remembered key besides its letters and ids.
 KEY_BYTES = 120
-#: Bytes of pieces that one recursive query works on (one piece may have more).
-QUERY_BYTES = 1 << 20
+#: Of a piece of n bytes one recursive query holds the ids and ranks after each merge, at most some 4 n (n + 16) bytes. A query works on
+#: so many bytes (one piece may have more).
+QUERY_BYTES = 64 << 20
+#: Ids that one query decodes.
+DECODE_IDS = 1 << 20
 #: Bytes of texts that are encoded and decoded at a time.
 ENCODE_BYTES = 2 << 20
 #: Bytes of a piece (no space, letters or signs only) beyond which its merges take a heap: the recursive query
-#: holds a row for each position and merge, the square of a piece's length.
+#: holds a piece's ids after each merge, the square of its length.
 LONG_PIECE = 512
+#: Where two neighbours are no token.
+NO_PAIR = 2147483647
+#: Fixed value: the pattern that never lets a piece span a line end between two words; by any other, each chunk is split alone.
+SEPARATED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _ODD = re.compile(r" (?:\s|$)")
 
@@ -119,8 +131,8 @@ class Remembered:
 class ChunkEncoder:
     """Encodes texts by chunks; ``encode_new`` gives the ids of chunks that have not been met yet."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.split, self.chunks = split, Remembered(encode_new)
+    def __init__(self, split: Callable[[str], list[str]], encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = CACHE_BYTES):
+        self.split, self.chunks = split, Remembered(encode_new, most)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The texts' ids, one after the other, and how many each text has."""
@@ -158,23 +170,26 @@ def by_space(text: str) -> list[str]:
 
 
 ENCODE = """
-WITH RECURSIVE t(w, pos, tok, done) AS (
-  SELECT w, pos, tok, FALSE FROM seed
+WITH RECURSIVE t(w, toks, ranks, rank) AS (
+  SELECT w, toks, ranks, list_min(ranks) FROM seed
   UNION ALL
-  (WITH ranked AS MATERIALIZED (
-    SELECT w, pos, tok, before, rank
-    FROM (SELECT w, pos, tok, lag(pos) OVER o AS before, tok * 4294967296 + lead(tok) OVER o AS pair FROM t WHERE NOT done WINDOW o AS (PARTITION BY w ORDER BY pos))
-    LEFT JOIN merges USING (pair)
+  (WITH spot AS (SELECT *, list_position(ranks, rank) AS i FROM t WHERE rank < 2147483647),
+  pairs AS (SELECT *, CASE WHEN i > 1 THEN toks[i - 1] * 4294967296 + rank END AS before, rank * 4294967296 + toks[i + 2] AS after FROM spot),
+  met AS (
+    SELECT w, toks, ranks, pairs.rank, i, coalesce(b.rank, 2147483647) AS before, coalesce(a.rank, 2147483647) AS after
+    FROM pairs LEFT JOIN merges b ON b.pair = before LEFT JOIN merges a ON a.pair = after
   ),
-  best AS (SELECT w, (min(rank * 65536 + pos) % 65536)::INT AS spot FROM ranked GROUP BY w)
-  SELECT w, pos, CASE WHEN pos = spot THEN rank ELSE tok END, spot IS NULL
-  FROM ranked JOIN best USING (w)
-  WHERE before IS DISTINCT FROM spot OR spot IS NULL)
+  contracted AS (
+    SELECT w, list_concat(toks[:i - 1], [rank], toks[i + 2:]) AS toks,
+      CASE WHEN i > 1 THEN list_concat(ranks[:i - 2], [before, after], ranks[i + 2:]) ELSE list_concat([after], ranks[3:]) END AS ranks
+    FROM met
+  )
+  SELECT w, toks, ranks, list_min(ranks) FROM contracted)
 )
-SELECT w, tok FROM t WHERE done ORDER BY w, pos
+SELECT w, toks FROM t WHERE rank = 2147483647 ORDER BY w
 """
 
-DECODE = "SELECT doc, string_agg(bytes, '' ORDER BY pos) AS bytes FROM ids JOIN vocabulary USING (tok) GROUP BY doc"
+DECODE = "SELECT part, array_to_string(list_select(bytes, places), '') AS text FROM ids, vocabulary ORDER BY part"
 
 
 class Bpe:
@@ -187,26 +202,43 @@ class Bpe:
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
         self.byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
-        merges, vocabulary = merge_table(self.ranks), pa.table({"tok": pa.array(self.ranks.values(), pa.int64()), "bytes": [t.decode("latin-1") for t in self.ranks]})
+        merges, by_id = merge_table(self.ranks), {i: t.decode("latin-1") for t, i in self.ranks.items()}
         self.db.register("merges_", merges)
-        self.db.register("vocabulary_", vocabulary)
+        self.db.register("vocabulary_", pa.table({"bytes": pa.array([[by_id.get(i) for i in range(max(by_id) + 1)]])}))
         self.pairs = dict(zip(merges["pair"].to_pylist(), merges["rank"].to_pylist(), strict=True))
-        self.db.execute("CREATE TABLE merges AS FROM merges_; CREATE TABLE vocabulary AS FROM vocabulary_")
-        self.pieces = Remembered(self.encode_pieces)
-        self.texts = ChunkEncoder(by_space, self.encode_chunks)
+        self.db.execute("CREATE TABLE merges AS SELECT pair, rank::INT AS rank FROM merges_; CREATE TABLE vocabulary AS FROM vocabulary_")
+        self.byte_pairs = np.array([[self.pairs.get(a << 32 | b, NO_PAIR) for b in self.byte.tolist()] for a in self.byte.tolist()], np.int32)
+        self.word = regex.compile(r" ?\S+") if pattern == SEPARATED else None
+        self.pieces = Remembered(self.encode_pieces, BPE_CACHE_BYTES)
+        self.texts = ChunkEncoder(by_space, self.encode_chunks, BPE_CACHE_BYTES)
 
     def forget(self) -> None:
         self.pieces.forget()
         self.texts.chunks.forget()
 
     def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number of each chunk; the pieces of all chunks that are one word are found in one pass, with a line end between chunks."""
         self.pieces.trim()
-        look, numbers, sizes = self.pieces.index.__getitem__, [], np.zeros(len(chunks), np.int64)
-        for i, chunk in enumerate(chunks):
-            found = self.pattern.findall(chunk)
-            numbers += map(look, found)
+        look, sizes = self.pieces.index.__getitem__, np.zeros(len(chunks), np.int64)
+        plain = np.fromiter(map(bool, map(self.word.fullmatch, chunks)), bool, len(chunks)) if self.word else np.zeros(len(chunks), bool)
+        words = list(compress(chunks, plain))
+        found = self.pattern.findall("\n".join(words))
+        numbers = np.fromiter(map(look, found), np.int64, len(found))
+        if words:
+            between = numbers == look("\n")
+            ends = np.append(np.flatnonzero(between), len(numbers))
+            sizes[plain] = np.diff(ends, prepend=-1) - 1
+            numbers = numbers[~between]
+        if len(words) == len(chunks):
+            return self.pieces.grouped(numbers, sizes)
+        others = []
+        for i in np.flatnonzero(~plain).tolist():
+            found = self.pattern.findall(chunks[i])
+            others += map(look, found)
             sizes[i] = len(found)
-        return self.pieces.grouped(np.array(numbers, np.int64), sizes)
+        both, own = np.zeros(int(sizes.sum()), np.int64), np.repeat(plain, sizes)
+        both[own], both[~own] = numbers, others
+        return self.pieces.grouped(both, sizes)
 
     def encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and their number of each piece; those that are tokens take their id, the others the query."""
@@ -214,35 +246,40 @@ class Bpe:
         whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int64)
         lengths = np.where(whole >= 0, 1, 0)
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in [i for i in np.flatnonzero(whole < 0) if len(pieces[i]) > LONG_PIECE]:
+        size = np.array([len(p) for p in pieces], np.int64)
+        for i in np.flatnonzero((whole < 0) & (size > LONG_PIECE)).tolist():
             tok = self.contract_long(pieces[i])
-            held.append((np.full(len(tok), i), tok))
-        left = np.array([i for i in np.flatnonzero(whole < 0) if len(pieces[i]) <= LONG_PIECE], np.int64)
-        size = np.array([len(pieces[i]) for i in left], np.int64)
+            lengths[i] = len(tok)
+            held.append((np.array([i]), tok))
+        left = np.flatnonzero((whole < 0) & (size <= LONG_PIECE))
+        held_bytes = np.cumsum(4 * size[left] * (size[left] + 16))
         start = 0
         while start < len(left):
-            stop = max(start + 1, int(np.searchsorted(np.cumsum(size[start:]), QUERY_BYTES, "right")) + start)
+            stop = max(start + 1, int(np.searchsorted(held_bytes, QUERY_BYTES + (held_bytes[start - 1] if start else 0), "right")))
             part = left[start:stop]
-            data = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
-            n = size[start:stop]
-            seed = pa.table({"w": np.repeat(part, n).astype(np.int32), "pos": spread(np.zeros(len(n), np.int64), n).astype(np.int32), "tok": self.byte[data]})
-            self.db.register("seed", seed)
-            out = self.db.execute(ENCODE).fetchnumpy()
-            self.db.unregister("seed")
-            w, tok = out["w"], out["tok"]
-            held.append((w, tok))
+            tok, lengths[part] = self.contract([pieces[i] for i in part.tolist()], size[part])
+            held.append((part, tok))
             start = stop
-        for w, _ in held:
-            lengths += np.bincount(w, minlength=len(pieces))
         ends = np.cumsum(lengths)
         ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint32)
         ready = whole >= 0
         ids[(ends - lengths)[ready]] = whole[ready]
-        for w, tok in held:
-            if len(w):
-                ids[spread((ends - lengths)[np.unique(w)], lengths[np.unique(w)])] = tok
+        for part, tok in held:
+            ids[spread((ends - lengths)[part], lengths[part])] = tok
         return ids, lengths
 
+    def contract(self, pieces: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after the other, lengths) of the pieces by the recursive query, which starts from their bytes' ids and the ranks of byte pairs."""
+        data, offsets = np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        ranks = np.full(len(data), NO_PAIR, np.int32)
+        ranks[:-1] = self.byte_pairs[data[:-1], data[1:]]
+        ranks[offsets[1:] - 1] = NO_PAIR
+        lists = [pa.ListArray.from_arrays(offsets, x) for x in (self.byte[data].astype(np.int32), ranks)]
+        self.db.register("seed", pa.table([np.arange(len(pieces)), *lists], ["w", "toks", "ranks"]))
+        toks = self.db.sql(ENCODE).to_arrow_table()["toks"].combine_chunks()
+        self.db.unregister("seed")
+        return pc.list_flatten(toks).to_numpy(zero_copy_only=False), pc.list_value_length(toks).to_numpy(zero_copy_only=False)
+
     def contract_long(self, piece: bytes) -> np.ndarray:
         """The same contraction for one very long piece: a heap of pairs by rank and place, tokens in a linked list."""
         tok = self.byte[np.frombuffer(piece, np.uint8)].tolist()
@@ -265,14 +302,20 @@ class Bpe:
         return np.array([t for t in tok if t >= 0], np.int64)
 
     def decode(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-        """The bytes of each document's ids."""
-        out = [b""] * len(sizes)
-        if len(ids):
-            self.db.register("ids", pa.table({"doc": np.repeat(np.arange(len(sizes)), sizes), "pos": np.arange(len(ids)), "tok": ids.astype(np.int64)}))
-            for doc, text in zip(*self.db.execute(DECODE).fetchnumpy().values(), strict=True):
-                out[doc] = text.encode("latin-1")
+        """The bytes of each document's ids; a query decodes parts of at most ``DECODE_IDS`` ids in all."""
+        ends = np.cumsum(sizes)
+        cuts = np.union1d(np.append(0, ends), np.arange(0, len(ids), DECODE_IDS)).astype(np.int64)
+        parts: list[bytes] = []
+        start = 0
+        while start < len(cuts) - 1:
+            stop = max(start + 1, int(np.searchsorted(cuts, cuts[start] + DECODE_IDS, "right")) - 1)
+            lists = pa.ListArray.from_arrays((cuts[start : stop + 1] - cuts[start]).astype(np.int32), ids[cuts[start] : cuts[stop]].astype(np.int64) + 1)
+            self.db.register("ids", pa.table([np.arange(stop - start), lists], ["part", "places"]))
+            parts += [text.encode("latin-1") for text in self.db.sql(DECODE).to_arrow_table()["text"].to_pylist()]
             self.db.unregister("ids")
-        return out
+            start = stop
+        at = np.searchsorted(cuts, np.append(0, ends))
+        return [b"".join(parts[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 _WORKER: dict[tuple[str, str], Bpe] = {}

@@ -72,6 +72,67 @@ def test_remembered_keys_are_trimmed_by_use():
     assert len(r.index) == r.bytes == len(r.rows) == 0
 
 
+class Told:
+    """Passes everything on to ``what`` and keeps the arguments of one method."""
+
+    def __init__(self, what, method: str):
+        self.what, self.method, self.calls = what, method, []
+
+    def __getattr__(self, name):
+        found = getattr(self.what, name)
+        return found if name != self.method else lambda *args: (self.calls.append(args), found(*args))[1]
+
+
+def random_words(n: int, most: int) -> list[str]:
+    rng = np.random.default_rng(11)
+    return ["".join(rng.choice(list("etaoinshrdlué"), rng.integers(6, most))) for _ in range(n)]
+
+
+def test_new_words_are_split_in_one_pass_and_take_one_row_each_of_the_query(tiktoken_encoding):
+    b = bpe.Bpe(BYTE, P.PATTERN)
+    b.pattern, b.db = Told(b.pattern, "findall"), Told(b.db, "register")
+    text = " ".join(random_words(2000, 14)) + " don't  two\n\n lines\x1c\x85\u3000of 12ab?!\u2028"
+    ids, _ = b.texts.encode([text, "", "\n", " ", "\n\nx\n y", "'s 's"])
+    assert ids.tolist() == [x for t in (text, "\n", " ", "\n\nx\n y", "'s 's") for x in tiktoken_encoding.encode_ordinary(t)]
+    assert len(b.pattern.calls) < 20
+    rows = sum(seed.num_rows for name, seed in b.db.calls if name == "seed")
+    assert 0 < rows < 2100  # a row a letter would be some 18,000
+
+
+def test_a_pattern_that_takes_line_ends_splits_each_chunk_alone():
+    import tiktoken
+
+    pattern = r"""\p{L}+[\r\n]*| ?\p{N}+| ?[^\s\p{L}\p{N}]+[\r\n]*|\s+(?!\S)|\s+"""
+    ranks = bpe.load_ranks(BYTE)
+    texts = ["ab!! cd?? 12 'x", "a\n b\n\n c", " ?\n"]
+    ids, sizes = bpe.Bpe(BYTE, pattern).texts.encode(texts)
+    encoding = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    want = [encoding.encode_ordinary(t) for t in texts]
+    assert (ids.tolist(), sizes.tolist()) == (sum(want, []), [len(x) for x in want])
+
+
+def test_queries_work_on_bounded_parts(tiktoken_encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "QUERY_BYTES", 5000)
+    monkeypatch.setattr(bpe, "DECODE_IDS", 50)
+    b = bpe.Bpe(BYTE, P.PATTERN)
+    b.db = Told(b.db, "register")
+    words = random_words(300, 60)
+    texts = ["", " ".join(words[:200]), "", "a", " ".join(words[200:]), ""]
+    ids, sizes = b.texts.encode(texts)
+    assert ids.tolist() == [x for t in texts for x in tiktoken_encoding.encode_ordinary(t)]
+    assert b.decode(ids, sizes) == [t.encode() for t in texts]
+    assert b.decode(ids[:0], sizes[:0]) == []
+    seeds, parts = ([t for name, t in b.db.calls if name == kind] for kind in ("seed", "ids"))
+    assert len(seeds) > 100
+    assert max(len(x.as_py()) for t in parts for x in t["places"]) <= 50
+
+
+def test_a_document_of_millions_of_ids_is_decoded():
+    b = bpe.worker(BYTE, P.PATTERN)
+    ids = np.tile(b.byte[list(b"abc\xc3\xa9")].astype(np.uint32), 2_000_000)
+    assert b.decode(ids, np.array([len(ids) - 5, 5])) == [b"abc\xc3\xa9" * 1_999_999, b"abc\xc3\xa9"]
+
+
 def test_long_pieces_take_the_heap(tiktoken_encoding):
     b = bpe.worker(BYTE, P.PATTERN)
     letters = "".join(np.random.default_rng(3).choice(list("etaoinshrdlu"), 1 << 20))
